@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
-from . import tokens
+from . import chunking, tokens
+
+
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Stored chunks of page bodies that break the contract of the splitter."""
+    return chunking.broken_chunks(table(spark, folder, "pages"), table(spark, folder, "content_chunks"))
+
+
+def p4_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page body cut into pieces under the limit."""
+    return chunking.chunks(table(spark, folder, "pages").withColumnRenamed("id", "page_id"), "page_id")
 
 
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
@@ -15,7 +25,7 @@ def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p8_ids": p8_ids}
+    return {f.__name__: f for f in (p4_found, p4_chunks, p8_ids)}
 
 
 def oracle_sql() -> dict[str, str]:
