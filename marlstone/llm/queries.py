@@ -5,9 +5,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import chunking, tokens
+from . import chunking, neardup, tokens
+
+
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of pages that say nearly the same: word triples, at least 30 words, similarity 0.7 or more."""
+    pages = table(spark, folder, "pages").where("page_kind = 'markdown' AND coalesce(type, '') <> 'email'")
+    pairs = neardup.near_pairs(pages, "id", "compiled_truth", width=3, least=30, threshold=0.7)
+    return pairs.select(F.col("a").alias("page_id_a"), F.col("b").alias("page_id_b")).distinct()
+
+
+def p2_classes(spark: SparkSession, folder: str) -> DataFrame:
+    """Each markdown page's near-duplicate class over five-word shingles at 0.8, and its number of links."""
+    pages = table(spark, folder, "pages").where("page_kind = 'markdown'")
+    return neardup.classes(pages, "id", "compiled_truth").withColumnRenamed("k", "page_id")
 
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -25,7 +39,7 @@ def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p4_found, p4_chunks, p8_ids)}
+    return {f.__name__: f for f in (p2_found, p2_classes, p4_found, p4_chunks, p8_ids)}
 
 
 def oracle_sql() -> dict[str, str]:
