@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import chunking, neardup, tokens
+from . import chunking, knn, neardup, tokens
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -34,12 +34,24 @@ def p4_chunks(spark: SparkSession, folder: str) -> DataFrame:
     return chunking.chunks(table(spark, folder, "pages").withColumnRenamed("id", "page_id"), "page_id")
 
 
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Chunk pairs of one model with a cosine of 0.9 or more, one among the 5 most similar to the other."""
+    near = knn.neighbours(table(spark, folder, "content_chunks"), k=5, least=0.9)
+    a, b = F.least("id", "neighbour"), F.greatest("id", "neighbour")
+    return near.select(a.alias("chunk_id_a"), b.alias("chunk_id_b")).distinct()
+
+
+def p7_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    """The 5 nearest chunks found for every chunk with a usable vector, however similar."""
+    return knn.neighbours(table(spark, folder, "content_chunks"), k=5)
+
+
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.token_ids(table(spark, folder, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p2_found, p2_classes, p4_found, p4_chunks, p8_ids)}
+    return {f.__name__: f for f in (p2_found, p2_classes, p4_found, p4_chunks, p7_found, p7_nearest, p8_ids)}
 
 
 def oracle_sql() -> dict[str, str]:
