@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import chunking, knn, neardup, tokens
+from . import chunking, knn, neardup, spans, tokens
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -50,8 +50,18 @@ def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.token_ids(table(spark, folder, "documents"))
 
 
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Maximal stretches of each document that stand in another, in windows of 200 characters."""
+    return spans.shared_spans(table(spark, folder, "documents"))
+
+
+def p10_share(spark: SparkSession, folder: str) -> DataFrame:
+    """How much of each document stands in another."""
+    return spans.shared_share(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p2_found, p2_classes, p4_found, p4_chunks, p7_found, p7_nearest, p8_ids)}
+    return {f.__name__: f for f in (p2_found, p2_classes, p4_found, p4_chunks, p7_found, p7_nearest, p8_ids, p10_found, p10_share)}
 
 
 def oracle_sql() -> dict[str, str]:
