@@ -3,8 +3,8 @@
 Each text is a set of shingles (runs of consecutive words). One hash permutation is cut into bins;
 a bin keeps its smallest value, and an empty bin borrows from a bin drawn by a hash that all texts
 share (optimal densification). Bands of adjacent bins are bucket keys; each bucket contributes only
-edges from its members to its smallest member, and the components of these edges hold every
-candidate pair. Inside a component, pairs whose signatures agree often enough are compared exactly.
+edges from its members to its smallest and its largest member, and the components of these edges
+hold the candidate pairs. Inside a component, pairs whose signatures agree often enough are compared exactly.
 
 Texts with equal shingle sets stand for each other: only one of them is bucketed.
 
@@ -133,24 +133,44 @@ def _hashed(
     return rows_in.mapInArrow(work, f"k {kind}, same binary, n int, sig binary, shingles binary")
 
 
-def _bucket_edges(sets: DataFrame, bands: int, rows: int, kind: str) -> DataFrame:
-    """(a, b): star edges of all buckets, from each member to the bucket's smallest member."""
+def _bucket_edges(sets: DataFrame, bands: int, rows: int, kind: str, threshold: float) -> DataFrame:
+    """(a, b): star edges of all buckets, from each member to the bucket's smallest and largest member.
+
+    An edge stays if one bit of each signature bin agrees about as often as for texts at the
+    threshold (5 standard errors less), so chance collisions do not chain families together.
+    """
+    bins = bands * rows
+    longs = -(-bins // 63)
+    expected = (1 + threshold) / 2
+    most = int(bins * (1 - expected + 5 * np.sqrt(expected * (1 - expected) / bins)))
+    bits = [f"s{i}" for i in range(longs)]
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.num_rows
             if not n:
                 continue
-            sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype=np.uint32).reshape(n, bands, rows).astype(_U)
+            sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype=np.uint32).reshape(n, bins).astype(_U)
+            sketch = []
+            for i in range(longs):
+                part = sig[:, 63 * i : 63 * (i + 1)] & _U(1)
+                sketch.append((part << np.arange(part.shape[1], dtype=_U)).sum(axis=1, dtype=_U).view(np.int64))
+            banded = sig.reshape(n, bands, rows)
             value = np.broadcast_to(np.arange(bands, dtype=_U), (n, bands)).copy()
             for r in range(rows):
-                value = _mix(value * _U(0x9E3779B97F4A7C15) + sig[:, :, r])
-            ids = batch.column(0).take(pa.array(np.repeat(np.arange(n), bands)))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(value.reshape(-1).view(np.int64))], ["k", "bucket"])
+                value = _mix(value * _U(0x9E3779B97F4A7C15) + banded[:, :, r])
+            which = np.repeat(np.arange(n), bands)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(which)), pa.array(value.reshape(-1).view(np.int64)), *(pa.array(x[which]) for x in sketch)], ["k", "bucket", *bits]
+            )
 
-    members = sets.select("k", "sig").mapInArrow(keys, f"k {kind}, bucket bigint")
-    centres = members.groupBy("bucket").agg(F.min("k").alias("c"), F.count("*").alias("size")).where("size > 1")
-    return members.join(centres, "bucket").where("k <> c").select(F.col("c").alias("a"), F.col("k").alias("b")).distinct()
+    members = sets.select("k", "sig").mapInArrow(keys, f"k {kind}, bucket bigint, {', '.join(f'{x} bigint' for x in bits)}")
+    one = F.struct("k", *bits)
+    centres = members.groupBy("bucket").agg(F.min(one).alias("low"), F.max(one).alias("high")).where("low.k <> high.k")
+    both = members.join(centres, "bucket").select(*members.columns, F.explode(F.array("low", "high")).alias("c"))
+    apart = sum((F.bit_count(F.col(x).bitwiseXOR(F.col(f"c.{x}"))) for x in bits), F.lit(0))
+    kept = both.where((F.col("k") != F.col("c.k")) & (apart <= most))
+    return kept.select(F.least("k", "c.k").alias("a"), F.greatest("k", "c.k").alias("b")).distinct()
 
 
 def similar(
@@ -169,7 +189,7 @@ def similar(
     reps = hashed.groupBy("same").agg(F.min("k").alias("rep"))
     members = hashed.select("k", "same").join(reps, "same").select("k", "rep")
     sets = hashed.join(reps.select(F.col("rep").alias("k")), "k", "left_semi")
-    parts = components(_bucket_edges(sets, bands, rows, kind))
+    parts = components(_bucket_edges(sets, bands, rows, kind, threshold))
     return members, _verified(sets, parts, kind, threshold, bands * rows, block)
 
 
