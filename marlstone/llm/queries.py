@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import chunking, knn, neardup, spans, tokens
+from . import chunking, knn, neardup, packing, spans, tokens
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -50,6 +50,11 @@ def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.token_ids(table(spark, folder, "documents"))
 
 
+def p9_bins(spark: SparkSession, folder: str) -> DataFrame:
+    """The container of each document (or piece of an oversized one), for each capacity."""
+    return packing.filled(table(spark, folder, "documents"), table(spark, folder, "pack_limits"))
+
+
 def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     """Maximal stretches of each document that stand in another, in windows of 200 characters."""
     return spans.shared_spans(table(spark, folder, "documents"))
@@ -61,7 +66,7 @@ def p10_share(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p2_found, p2_classes, p4_found, p4_chunks, p7_found, p7_nearest, p8_ids, p10_found, p10_share)}
+    return {f.__name__: f for f in (p2_found, p2_classes, p4_found, p4_chunks, p7_found, p7_nearest, p8_ids, p9_bins, p10_found, p10_share)}
 
 
 def oracle_sql() -> dict[str, str]:
