@@ -5,9 +5,9 @@ symbol (a coin every symbol carries in a round) get a name that is a hash of wha
 Names are global: equal strings get equal names in every partition and table, without a dictionary.
 With each symbol goes the interval of the text that its making depended on; a window of text *owns*
 the symbols whose interval lies in it, so equal windows own equal symbols. A window's anchor is the
-first symbol of the highest kept level that it owns, down to single characters, hence every window
-has one, and only windows whose anchors stand in two texts can be shared. Those windows' own hashes
-are then compared in the same manner, and runs of shared windows make the spans.
+first and the last symbol it owns of the highest kept level, down to single characters, hence every
+window has one, and only windows whose anchors stand in two texts can be shared. Those windows' own
+hashes are then compared in the same manner, and runs of shared windows make the spans.
 
 Both comparisons send (hash, text, windows) packed by hash bucket. Before that, each slice of texts
 settles the hashes that two of its own texts hold and sends one witness of them, so that a string
@@ -36,7 +36,7 @@ _ODD = [_U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779
 ROUNDS, RUNS, KEPT = 12, (0, 4), (12, 9, 6, 3, 0)
 #: Characters of a slice, and of a bucket on average.
 SLICE, BUCKET = 1_000_000, 6_000_000
-_FAR = 1 << 40
+_FAR = np.int32(1 << 30)
 
 
 def _name(x: np.ndarray) -> np.ndarray:
@@ -84,9 +84,9 @@ def anchors(codes: np.ndarray, bounds: np.ndarray, width: int) -> tuple[np.ndarr
     named by their first character's index in codes.
     """
     n = len(codes)
-    piece = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    at = np.arange(n)
-    state = (_name((codes.astype(_U) + _U(1)) * _ODD[0]), at, at + 1, piece)
+    piece = np.repeat(np.arange(len(bounds) - 1, dtype=np.int32), np.diff(bounds))
+    at = np.arange(n, dtype=np.int32)
+    state = (_name((codes.astype(_U) + _U(1)) * _ODD[0]), at, at + np.int32(1), piece)
     kept = {0: state}
     for number in range(ROUNDS):
         if number in RUNS:
@@ -94,40 +94,36 @@ def anchors(codes: np.ndarray, bounds: np.ndarray, width: int) -> tuple[np.ndarr
         state = _pairs(*state, number)
         if number + 1 in KEPT:
             kept[number + 1] = state
-    open_ = np.zeros(n, dtype=bool)
+    open_ = np.zeros(n + 1, dtype=bool)
     for a, b in zip(bounds, bounds[1:]):
         open_[a : max(a, b - width + 1)] = True
     out = []
     for level in KEPT:
         sym, dl, dr, piece = kept[level]
         low, high = np.maximum(dr - width, bounds[piece]), np.minimum(dl, bounds[piece + 1] - width)
-        good = low <= high
-        sym, low, high = sym[good], low[good], high[good]
+        good = low <= high  # first and last window that own the symbol
+        if level != KEPT[0]:
+            ahead = np.concatenate([[0], np.cumsum(open_)])
+            if not ahead[-1]:
+                break
+            good[good] = ahead[high[good] + 1] > ahead[low[good]]
+        sym, low, high, dl = sym[good], low[good], high[good], dl[good]
         if not len(sym):
             continue
-        want = np.flatnonzero(open_)
-        if not len(want):
-            break
-        if level == KEPT[0]:
-            first = np.maximum(low, np.insert(high[:-1] + 1, 0, 0))
-            some = first <= high
-            sym, first, last = sym[some], first[some], high[some] + 1
-            marks = np.zeros(n + 1, dtype=np.int32)
-            marks[first] += 1
-            np.subtract.at(marks, last, 1)
-            open_ &= np.cumsum(marks[:-1]) == 0
-        else:
-            which = np.searchsorted(high, want)
-            inside = which < len(high)
-            inside[inside] = low[which[inside]] <= want[inside]
-            want, which = want[inside], which[inside]
-            if not len(want):
-                continue
-            open_[want] = False
-            cut = np.flatnonzero((np.diff(want) != 1) | (np.diff(which) != 0)) + 1
-            begin = np.insert(cut, 0, 0)
-            sym, first, last = sym[which[begin]], want[begin], want[np.append(cut, len(want)) - 1] + 1
-        out.append((sym ^ _U(level), first, last))
+        # the windows from one change of the first or last owned symbol to the next have one anchor
+        change = np.unique(np.concatenate([low, high + 1]))
+        first, last = change[:-1], change[1:]
+        one, two = np.searchsorted(high, first), np.searchsorted(low, first, side="right") - 1
+        some = one <= two
+        if level != KEPT[0]:
+            some &= ahead[last] > ahead[first]
+        first, last, one, two = first[some], last[some], one[some], two[some]
+        marks = np.zeros(n + 1, dtype=np.int32)
+        marks[first] += 1
+        np.subtract.at(marks, last, 1)
+        open_ &= np.cumsum(marks) == 0
+        gap = (dl[two] - dl[one]).astype(_U)
+        out.append((_name(sym[one] * _ODD[0] + sym[two] * _ODD[1] + gap * _ODD[2] + _U(level)), first, last))
     if not out:
         return np.array([], dtype=_U), np.array([], dtype=np.int64), np.array([], dtype=np.int64)
     return tuple(np.concatenate(x) for x in zip(*out))
@@ -147,54 +143,85 @@ def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
 
 
-def _asked(hashes, docs, first, last, buckets: int) -> Iterator[pa.RecordBatch]:
-    """Rows of one slice: packed (hash, doc, first, last) by bucket; settled ones apart.
+def _packed(docs, first, last) -> bytes:
+    """Entries ordered by (doc, first), as compressed differences."""
+    parts = [np.diff(docs, prepend=0), np.diff(first, prepend=0).astype(np.int32), (last - first).astype(np.int32)]
+    return len(docs).to_bytes(8, "little") + pa.compress(b"".join(x.tobytes() for x in parts), codec="zstd", asbytes=True)
 
-    A witness of a settled hash has first = last = -1.
+
+def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n = int.from_bytes(data[:8], "little")
+    raw = pa.decompress(data[8:], decompressed_size=16 * n, codec="zstd", asbytes=True)
+    docs = np.cumsum(np.frombuffer(raw, np.int64, n))
+    first = np.cumsum(np.frombuffer(raw, np.int32, n, 8 * n).astype(np.int64))
+    return docs, first, first + np.frombuffer(raw, np.int32, n, 12 * n)
+
+
+def _asked(hashes, docs, first, last, bucket, octets: int) -> Iterator[pa.RecordBatch]:
+    """Rows of one slice by bucket: ``octets`` bytes of each hash, packed (doc, first, last); settled ones apart.
+
+    A witness of a settled hash comes with last = first - 1.
     """
     if not len(hashes):
         return
-    order = np.lexsort((docs, hashes))
-    hashes, docs, first, last = hashes[order], docs[order], first[order], last[order]
-    begin = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
-    size = np.diff(np.append(begin, len(hashes)))
-    settled = np.repeat(docs[begin] != docs[begin + size - 1], size)
-    witness = begin[docs[begin] != docs[begin + size - 1]]
+    order = np.argsort(hashes, kind="stable")
+    ordered = hashes[order]
+    begin = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    size = np.diff(np.append(begin, len(ordered)))
+    here = docs[order]
+    several = np.minimum.reduceat(here, begin) != np.maximum.reduceat(here, begin)
+    settled = np.zeros(len(hashes), dtype=bool)
+    settled[order] = np.repeat(several, size)
+    witness = np.zeros(len(hashes), dtype=bool)
+    witness[order[begin[several]]] = True
     rows = []
-    known = np.flatnonzero(settled)
-    if len(known):
-        rows.append((int(hashes[0] % _U(buckets)), True, b"", docs[known].tobytes(), first[known].tobytes(), last[known].tobytes()))
-    ask = np.concatenate([np.flatnonzero(~settled), witness])
-    none = np.full(len(witness), -1, dtype=np.int64)
-    h, d = hashes[ask], docs[ask]
-    a, z = np.concatenate([first[~settled], none]), np.concatenate([last[~settled], none])
-    bucket = (h % _U(buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    cuts = np.flatnonzero(np.diff(bucket[order])) + 1
-    for part in np.split(order, cuts):
-        rows.append((int(bucket[part[0]]), False, h[part].tobytes(), d[part].tobytes(), a[part].tobytes(), z[part].tobytes()))
-    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["bucket", "known", "h", "d", "a", "z"])
-
-
-_ASKED = "bucket bigint, known boolean, h binary, d binary, a binary, z binary"
-_RUNS = "doc bigint, runs binary"
-
-
-def _answers(frame: pd.DataFrame) -> pd.DataFrame:
-    """(doc, runs) of the entries whose hash stands in two texts, of one bucket."""
-    join = lambda column, kind: np.frombuffer(b"".join(column), dtype=kind)
-    known, asked = frame[frame["known"]], frame[~frame["known"]]
-    h, d, a, z = join(asked["h"], _U), *(join(asked[c], np.int64) for c in "daz")
-    order = np.argsort(h, kind="stable")
-    h, d, a, z = h[order], d[order], a[order], z[order]
-    if len(h):
-        begin = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-        size = np.diff(np.append(begin, len(h)))
-        several = (np.minimum.reduceat(d, begin) != np.maximum.reduceat(d, begin)) | (np.minimum.reduceat(a, begin) < 0)
-        shared = np.repeat(several, size) & (a >= 0)
-        d, a, z = d[shared], a[shared], z[shared]
-    d, a, z = (np.concatenate([x, join(known[c], np.int64)]) for x, c in ((d, "d"), (a, "a"), (z, "z")))
-    return _by_doc(d, a, z)
+    for b, known, which, end in (
+        *((b, True, w, last) for b, w in _grouped(bucket, settled)),
+        *((b, False, w, np.where(witness, first - 1, last)) for b, w in _grouped(bucket, ~settled | witness)),
+    ):
+        which = which[np.lexsort((first[which], docs[which]))]
+        h = b"" if known else hashes[which].view(np.uint8).reshape(-1, 8)[:, :octets].tobytes()
+        rows.append((b, known, h, _packed(docs[which], first[which], end[which])))
+    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["bucket", "known", "h", "at"])
+
+
+def _grouped(bucket: np.ndarray, chosen: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    which = np.flatnonzero(chosen)
+    which = which[np.argsort(bucket[which], kind="stable")]
+    if len(which):
+        for part in np.split(which, np.flatnonzero(np.diff(bucket[which])) + 1):
+            yield int(bucket[part[0]]), part
+
+
+_ASKED = "bucket bigint, known boolean, h binary, at binary"
+_RUNS = "doc bigint, bucket bigint, runs binary"
+
+
+def _answers(octets: int):
+    def answer(frame: pd.DataFrame) -> pd.DataFrame:
+        """(doc, bucket, runs) of the entries whose hash stands in two texts, of one bucket."""
+        none = (np.array([], dtype=np.int64),) * 3
+        gather = lambda rows: tuple(map(np.concatenate, zip(none, *map(_unpacked, rows))))
+        asked = frame[~frame["known"]]
+        raw = np.frombuffer(b"".join(asked["h"]), dtype=np.uint8).reshape(-1, octets)
+        h = np.zeros((len(raw), 8), dtype=np.uint8)
+        h[:, :octets] = raw
+        h = h.reshape(-1).view(_U)
+        d, a, z = gather(asked["at"])
+        if len(h):
+            order = np.argsort(h, kind="stable")
+            h, d, a, z = h[order], d[order], a[order], z[order]
+            begin = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+            size = np.diff(np.append(begin, len(h)))
+            several = (np.minimum.reduceat(d, begin) != np.maximum.reduceat(d, begin)) | (np.minimum.reduceat(z - a, begin) < 0)
+            shared = np.repeat(several, size) & (z > a)
+            d, a, z = d[shared], a[shared], z[shared]
+        d, a, z = map(np.concatenate, zip((d, a, z), gather(frame["at"][frame["known"]])))
+        found = _by_doc(d, a, z)
+        found.insert(1, "bucket", frame["bucket"].iloc[0])
+        return found
+
+    return answer
 
 
 def _merge(a: np.ndarray, z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -232,7 +259,7 @@ def shared_spans(df: DataFrame, key: str = "doc_id", text: str = "text", width:
             h, a, z = anchors(np.concatenate(codes), bounds, width)
             which = np.searchsorted(bounds, a, side="right") - 1
             back = np.array(begins)[which] - bounds[which]
-            return _asked(h, np.array(docs)[which], a + back, z + back, buckets)
+            return _asked(h, np.array(docs)[which], a + back, z + back, (h % _U(buckets)).astype(np.int64), 6)
 
         codes, docs, begins, held = [], [], [], 0
         for batch in batches:
@@ -249,34 +276,43 @@ def shared_spans(df: DataFrame, key: str = "doc_id", text: str = "text", width:
         if codes:
             yield from flush()
 
-    candidates = rows.mapInArrow(name, _ASKED).groupBy("bucket").applyInPandas(_answers, _RUNS)
-    chosen = candidates.groupBy("doc").agg(F.collect_list("runs").alias("runs"))
+    candidates = rows.mapInArrow(name, _ASKED).groupBy("bucket").applyInPandas(_answers(6), _RUNS)
+    chosen = candidates.groupBy("doc").agg(F.collect_list(F.struct("bucket", "runs")).alias("runs"))
     read = rows.join(chosen, "doc").select("doc", "t", "runs")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush():
-            return _asked(np.concatenate(h), np.concatenate(d), np.concatenate(s), np.concatenate(s) + 1, buckets)
+            return _asked(*map(np.concatenate, (h, d, s)), np.concatenate(s) + 1, np.concatenate(g), 8)
 
-        h, d, s, held = [], [], [], 0
+        h, d, s, g, held = [], [], [], [], 0
         for batch in batches:
-            for doc, t, runs in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for doc, t, answers in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 whole = _codes(t)
-                a, z = _unpack(runs)
-                z = np.minimum(z, len(whole) - width + 1)
-                starts = np.concatenate([np.arange(x, y) for x, y in zip(a, z)])
+                runs = [np.frombuffer(x["runs"], dtype=np.int64).reshape(2, -1) for x in answers]
+                home = np.repeat([x["bucket"] for x in answers], [r.shape[1] for r in runs])
+                a, z = np.concatenate(runs, axis=1)
+                z = np.minimum(z, len(whole) - width + 1)  # texts of one key may differ
+                a, z, home = a[a < z], z[a < z], home[a < z]
+                if not len(a):
+                    continue
+                order = np.argsort(a, kind="stable")
+                a, z, home = a[order], z[order], home[order]
+                size = z - a
+                starts = np.repeat(a - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
+                home = np.repeat(home, size)
                 for at in range(0, len(starts), SLICE):
                     part = starts[at : at + SLICE]
-                    piece = whole[part[0] : part[-1] + width]
-                    h.append(window_hashes(piece, part - part[0], width))
-                    d.append(np.full(len(part), doc)), s.append(part)
+                    low = part.min()
+                    h.append(window_hashes(whole[low : part.max() + width], part - low, width))
+                    d.append(np.full(len(part), doc)), s.append(part), g.append(home[at : at + SLICE])
                     held += len(part)
                     if held >= SLICE:
                         yield from flush()
-                        h, d, s, held = [], [], [], 0
+                        h, d, s, g, held = [], [], [], [], 0
         if h:
             yield from flush()
 
-    found = read.mapInArrow(compare, _ASKED).groupBy("bucket").applyInPandas(_answers, _RUNS)
+    found = read.mapInArrow(compare, _ASKED).groupBy("bucket").applyInPandas(_answers(8), _RUNS)
     per_doc = found.groupBy("doc").agg(F.collect_list("runs").alias("runs"))
 
     def spans(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
