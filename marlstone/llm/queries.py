@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import chunking, knn, neardup, packing, spans, tokens
+from . import chunking, emails, knn, neardup, packing, spans, tokens
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -34,6 +34,11 @@ def p4_chunks(spark: SparkSession, folder: str) -> DataFrame:
     return chunking.chunks(table(spark, folder, "pages").withColumnRenamed("id", "page_id"), "page_id")
 
 
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of each mail newly written by its sender."""
+    return emails.new_lines(table(spark, folder, "pages").where("type = 'email'")).select(F.col("id").alias("page_id"), "line_no")
+
+
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     """Chunk pairs of one model with a cosine of 0.9 or more, one among the 5 most similar to the other."""
     near = knn.neighbours(table(spark, folder, "content_chunks"), k=5, least=0.9)
@@ -66,7 +71,7 @@ def p10_share(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p2_found, p2_classes, p4_found, p4_chunks, p7_found, p7_nearest, p8_ids, p9_bins, p10_found, p10_share)}
+    return {f.__name__: f for f in (p2_found, p2_classes, p4_found, p4_chunks, p6_found, p7_found, p7_nearest, p8_ids, p9_bins, p10_found, p10_share)}
 
 
 def oracle_sql() -> dict[str, str]:
