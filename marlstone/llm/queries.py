@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import chunking, emails, knn, neardup, packing, spans, tokens
+from . import chunking, emails, knn, names, neardup, packing, spans, tokens
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -24,6 +24,17 @@ def p2_classes(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.classes(pages, "id", "compiled_truth").withColumnRenamed("k", "page_id")
 
 
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of person pages, or of company pages, that stand for the same person or company."""
+    pairs = names.same_pairs(table(spark, folder, "pages"), table(spark, folder, "given_names"))
+    return pairs.select(F.col("a").alias("page_id_a"), F.col("b").alias("page_id_b"))
+
+
+def p3_entities(spark: SparkSession, folder: str) -> DataFrame:
+    """The entity of each person or company page, named by its most attested reading."""
+    return names.entities(table(spark, folder, "pages"), table(spark, folder, "given_names")).withColumnRenamed("id", "page_id").distinct()
+
+
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     """Stored chunks of page bodies that break the contract of the splitter."""
     return chunking.broken_chunks(table(spark, folder, "pages"), table(spark, folder, "content_chunks"))
@@ -71,7 +82,7 @@ def p10_share(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p2_found, p2_classes, p4_found, p4_chunks, p6_found, p7_found, p7_nearest, p8_ids, p9_bins, p10_found, p10_share)}
+    return {f.__name__: f for f in (p2_found, p2_classes, p3_found, p3_entities, p4_found, p4_chunks, p6_found, p7_found, p7_nearest, p8_ids, p9_bins, p10_found, p10_share)}
 
 
 def oracle_sql() -> dict[str, str]:
