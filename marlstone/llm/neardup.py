@@ -3,8 +3,8 @@
 Each text is a set of shingles (runs of consecutive words). One hash permutation is cut into bins;
 a bin keeps its smallest value, and an empty bin borrows from a bin drawn by a hash that all texts
 share (optimal densification). Bands of adjacent bins are bucket keys; each bucket contributes only
-edges from its members to its smallest and its largest member, and the components of these edges
-hold the candidate pairs. Inside a component, pairs whose signatures agree often enough are compared exactly.
+edges from its members to its smallest member, and the components of these edges hold the candidate
+pairs. Inside a component, pairs whose signatures agree often enough are compared exactly.
 
 Texts with equal shingle sets stand for each other: only one of them is bucketed.
 
@@ -105,10 +105,8 @@ def signatures(owner: np.ndarray, value: np.ndarray, count: int, bins: int) -> n
     return _mix(filled).astype(np.uint32)
 
 
-def _hashed(
-    df: DataFrame, key: str, text: str, width: int, least: int, bands: int, rows: int
-) -> DataFrame:
-    """(k, same, n, sig, [shingles]) of each text with enough words; same identifies its shingle set."""
+def _hashed(df: DataFrame, key: str, text: str, width: int, least: int, bins: int) -> DataFrame:
+    """(k, same, sig) of each text with enough words; same identifies its shingle set, sig has 16 bits a bin."""
     kind = df.schema[key].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,62 +117,56 @@ def _hashed(
                 owner, value = shingles(part.column(1).to_pylist(), width, least, hashes)
                 if len(hashes) > 500_000:  # memory only
                     hashes.clear()
-                sig = signatures(owner, value, part.num_rows, bands * rows)
+                sig = signatures(owner, value, part.num_rows, bins).astype(np.uint16)
                 bounds = np.searchsorted(owner, np.arange(part.num_rows + 1))
                 keep = [i for i in range(part.num_rows) if bounds[i] < bounds[i + 1]]
-                sets = [value[bounds[i] : bounds[i + 1]].tobytes() for i in keep]
+                same = [xxhash.xxh3_128_digest(value[bounds[i] : bounds[i + 1]].tobytes()) for i in keep]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(keep, pa.int64())), pa.array([xxhash.xxh3_128_digest(s) for s in sets], pa.binary()), pa.array([len(s) // 8 for s in sets], pa.int32()),
-                     pa.array([sig[i].tobytes() for i in keep], pa.binary()), pa.array(sets, pa.binary())],
-                    ["k", "same", "n", "sig", "shingles"],
-                )
+                    [part.column(0).take(pa.array(keep, pa.int64())), pa.array(same, pa.binary()), pa.array([sig[i].tobytes() for i in keep], pa.binary())], ["k", "same", "sig"]
+                )
+
+    return _texts(df, key, text).mapInArrow(work, f"k {kind}, same binary, sig binary")
 
-    rows_in = df.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t")).where("k IS NOT NULL AND t IS NOT NULL").distinct()
-    return rows_in.mapInArrow(work, f"k {kind}, same binary, n int, sig binary, shingles binary")
+
+def _texts(df: DataFrame, key: str, text: str) -> DataFrame:
+    return df.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t")).where("k IS NOT NULL AND t IS NOT NULL")
 
 
 def _bucket_edges(sets: DataFrame, bands: int, rows: int, kind: str, threshold: float) -> DataFrame:
-    """(a, b): star edges of all buckets, from each member to the bucket's smallest and largest member.
+    """(a, b): star edges of all buckets, from each member to the bucket's smallest member.
 
     An edge stays if one bit of each signature bin agrees about as often as for texts at the
     threshold (5 standard errors less), so chance collisions do not chain families together.
     """
     bins = bands * rows
-    longs = -(-bins // 63)
+    used = min(63, bins)
     expected = (1 + threshold) / 2
-    most = int(bins * (1 - expected + 5 * np.sqrt(expected * (1 - expected) / bins)))
-    bits = [f"s{i}" for i in range(longs)]
+    most = int(used * (1 - expected + 5 * np.sqrt(expected * (1 - expected) / used)))
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.num_rows
             if not n:
                 continue
-            sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype=np.uint32).reshape(n, bins).astype(_U)
-            sketch = []
-            for i in range(longs):
-                part = sig[:, 63 * i : 63 * (i + 1)] & _U(1)
-                sketch.append((part << np.arange(part.shape[1], dtype=_U)).sum(axis=1, dtype=_U).view(np.int64))
+            sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype=np.uint16).reshape(n, bins).astype(_U)
+            bits = ((sig[:, :used] & _U(1)) << np.arange(used, dtype=_U)).sum(axis=1, dtype=_U).view(np.int64)
             banded = sig.reshape(n, bands, rows)
             value = np.broadcast_to(np.arange(bands, dtype=_U), (n, bands)).copy()
             for r in range(rows):
                 value = _mix(value * _U(0x9E3779B97F4A7C15) + banded[:, :, r])
             which = np.repeat(np.arange(n), bands)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(which)), pa.array(value.reshape(-1).view(np.int64)), *(pa.array(x[which]) for x in sketch)], ["k", "bucket", *bits]
+                [batch.column(0).take(pa.array(which)), pa.array(value.reshape(-1).view(np.int64)), pa.array(bits[which])], ["k", "bucket", "bits"]
             )
 
-    members = sets.select("k", "sig").mapInArrow(keys, f"k {kind}, bucket bigint, {', '.join(f'{x} bigint' for x in bits)}")
-    one = F.struct("k", *bits)
-    centres = members.groupBy("bucket").agg(F.min(one).alias("low"), F.max(one).alias("high")).where("low.k <> high.k")
-    both = members.join(centres, "bucket").select(*members.columns, F.explode(F.array("low", "high")).alias("c"))
-    apart = sum((F.bit_count(F.col(x).bitwiseXOR(F.col(f"c.{x}"))) for x in bits), F.lit(0))
-    kept = both.where((F.col("k") != F.col("c.k")) & (apart <= most))
-    return kept.select(F.least("k", "c.k").alias("a"), F.greatest("k", "c.k").alias("b")).distinct()
+    members = sets.select("k", "sig").mapInArrow(keys, f"k {kind}, bucket bigint, bits bigint")
+    centres = members.groupBy("bucket").agg(F.min(F.struct("k", "bits")).alias("c"), F.max("k").alias("high")).where("c.k <> high")
+    both = members.join(centres, "bucket").where((F.col("k") != F.col("c.k")) & (F.bit_count(F.col("bits").bitwiseXOR(F.col("c.bits"))) <= most))
+    return both.select(F.col("c.k").alias("a"), F.col("k").alias("b")).distinct()
 
 
 def similar(
-    df: DataFrame, key: str, text: str, width: int = 5, least: int = 0, threshold: float = 0.8, bands: int = 32, rows: int = 3, block: int = 256
+    df: DataFrame, key: str, text: str, width: int = 5, least: int = 0, threshold: float = 0.8, bands: int = 20, rows: int = 4, block: int = 256
 ) -> tuple[DataFrame, DataFrame]:
     """(members, pairs) of a table's texts.
 
@@ -182,18 +174,22 @@ def similar(
     pairs: (a, b, similarity), a < b: representatives with a Jaccard similarity of at least threshold.
 
     ``bands`` x ``rows``: two texts of similarity s share a bucket with probability
-    1 - (1 - s**rows)**bands; the defaults find 99.999 % of the pairs at 0.7.
+    1 - (1 - s**rows)**bands; the defaults find 99.997 % of the pairs at 0.8.
     """
     kind = df.schema[key].dataType.simpleString()
-    hashed = materialize(_hashed(df, key, text, width, least, bands, rows))
+    hashed = materialize(_hashed(df, key, text, width, least, bands * rows).distinct())
     reps = hashed.groupBy("same").agg(F.min("k").alias("rep"))
     members = hashed.select("k", "same").join(reps, "same").select("k", "rep")
     sets = hashed.join(reps.select(F.col("rep").alias("k")), "k", "left_semi")
     parts = components(_bucket_edges(sets, bands, rows, kind, threshold))
-    return members, _verified(sets, parts, kind, threshold, bands * rows, block)
+    nodes = parts.select(F.col("node").alias("k"))
+    texts = _texts(df, key, text).join(nodes, "k", "left_semi").distinct().join(sets.select("k", "sig"), "k")
+    return members, _verified(texts, parts, kind, threshold, bands * rows, block, width, least)
 
 
-def _verified(sets: DataFrame, parts: DataFrame, kind: str, threshold: float, bins: int, block: int) -> DataFrame:
+def _verified(
+    texts: DataFrame, parts: DataFrame, kind: str, threshold: float, bins: int, block: int, width: int, least: int
+) -> DataFrame:
     """Exact similarities inside components.
 
     A component is cut into blocks of about ``block`` members and a task gets two blocks at a time,
@@ -207,20 +203,22 @@ def _verified(sets: DataFrame, parts: DataFrame, kind: str, threshold: float, bi
     tasks = blocked.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "k", "component", "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y")
     )
-    members = tasks.join(sets.select("k", "sig", "shingles"), "k")
+    members = tasks.join(texts, "k")
     slack = 5 * np.sqrt(threshold * (1 - threshold) / bins)
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("k").reset_index(drop=True)
-        sig = np.frombuffer(b"".join(frame["sig"]), dtype=np.uint32).reshape(len(frame), bins)
+        sig = np.frombuffer(b"".join(frame["sig"]), dtype=np.uint16).reshape(len(frame), bins)
         own = frame["own"].to_numpy()
         cross = frame["x"].iloc[0] != frame["y"].iloc[0]
-        shingle = [np.frombuffer(b, dtype=_U) for b in frame["shingles"]]
+        owner, value = shingles(list(frame["t"]), width, least)
+        bounds = np.searchsorted(owner, np.arange(len(frame) + 1))
+        shingle = [value[a:z] for a, z in zip(bounds, bounds[1:])]
         size = np.array([len(s) for s in shingle])
         keys, out = frame["k"].to_numpy(), []
         for i in range(len(frame) - 1):
             near = (sig[i + 1 :] == sig[i]).mean(axis=1) >= threshold - slack
-            ratio = np.minimum(size[i + 1 :], size[i]) / np.maximum(size[i + 1 :], size[i])
+            ratio = np.minimum(size[i + 1 :], size[i]) / np.maximum(np.maximum(size[i + 1 :], size[i]), 1)
             near &= ratio >= threshold
             if cross:
                 near &= own[i + 1 :] != own[i]

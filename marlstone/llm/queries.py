@@ -14,7 +14,7 @@ from . import chunking, emails, knn, names, neardup, packing, spans, tokens
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     """Pairs of pages that say nearly the same: word triples, at least 30 words, similarity 0.7 or more."""
     pages = table(spark, folder, "pages").where("page_kind = 'markdown' AND coalesce(type, '') <> 'email'")
-    pairs = neardup.near_pairs(pages, "id", "compiled_truth", width=3, least=30, threshold=0.7)
+    pairs = neardup.near_pairs(pages, "id", "compiled_truth", width=3, least=30, threshold=0.7, bands=32, rows=3)
     return pairs.select(F.col("a").alias("page_id_a"), F.col("b").alias("page_id_b")).distinct()
 
 
