@@ -8,7 +8,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import chunking, emails, knn, names, neardup, packing, spans, tokens
+from . import chunking, emails, knn, names, neardup, packing, pii, spans, tokens
+
+
+def _texts(spark: SparkSession, folder: str) -> DataFrame:
+    """(field, row_id, text) of all fields that hold free text."""
+    pages, chunks = table(spark, folder, "pages"), table(spark, folder, "content_chunks")
+    one = lambda df, field: df.select(F.lit(field).alias("field"), F.col("id").alias("row_id"), F.col(field).alias("text"))
+    return one(pages, "compiled_truth").union(one(pages, "timeline")).union(one(chunks, "chunk_text"))
+
+
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal information in page bodies, timelines and chunks."""
+    fit = pii.finder(table(spark, folder, "pages"), table(spark, folder, "given_names"))
+    return pii.found(_texts(spark, folder), fit).distinct()
+
+
+def p1_redacted(spark: SparkSession, folder: str) -> DataFrame:
+    """The same texts with every value replaced by its kind and a keyed surrogate."""
+    fit = pii.finder(table(spark, folder, "pages"), table(spark, folder, "given_names"))
+    return pii.redacted(_texts(spark, folder).where("text IS NOT NULL"), fit, secret="example key: set your own").distinct()
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -82,7 +101,7 @@ def p10_share(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p2_found, p2_classes, p3_found, p3_entities, p4_found, p4_chunks, p6_found, p7_found, p7_nearest, p8_ids, p9_bins, p10_found, p10_share)}
+    return {f.__name__: f for f in (p1_found, p1_redacted, p2_found, p2_classes, p3_found, p3_entities, p4_found, p4_chunks, p6_found, p7_found, p7_nearest, p8_ids, p9_bins, p10_found, p10_share)}
 
 
 def oracle_sql() -> dict[str, str]:
