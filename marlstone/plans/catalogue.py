@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from ..operators import hierarchy
 from ..sources.tables import table
+from . import knowledge, streams  # noqa: F401 - they register their queries
+from .registry import ORACLES, QUERIES
 
-FLAGSHIP = "p5_found"
+FLAGSHIP = "hybrid_search"
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -29,7 +31,7 @@ def p5_hierarchy(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p5_found": p5_found, "p5_hierarchy": p5_hierarchy}
+    return {"p5_found": p5_found, "p5_hierarchy": p5_hierarchy} | QUERIES
 
 
 P5_TREE = """
@@ -52,7 +54,7 @@ looped AS (
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
+    return ORACLES | {
         "p5_found": f"""WITH RECURSIVE {P5_TREE}
 SELECT id AS job_id, root AS root_id, depth AS tree_depth FROM tree WHERE parent IS NOT NULL
 UNION ALL SELECT id, root, -1 FROM looped""",

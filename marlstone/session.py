@@ -21,6 +21,7 @@ def session(app: str = "marlstone", cores: str | int = "*", **conf: str) -> Spar
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
     )
     for key, value in conf.items():
