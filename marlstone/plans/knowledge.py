@@ -256,7 +256,7 @@ def prefix_histogram(spark: SparkSession, folder: str) -> DataFrame:
     return rows.groupBy(F.split_part("slug", F.lit("/"), F.lit(1)).alias("prefix")).agg(F.count("*").alias("pages"), F.countDistinct("type").alias("types"), F.min("id").alias("sample")).where("pages >= 3")
 
 
-@query(f"""SELECT id, round(coalesce(emotional_weight, 0) * 5 + ln(1 + coalesce(n, 0)), 6) AS salience,
+@query(f"""SELECT id, round(coalesce(CAST(emotional_weight AS DOUBLE), 0) * 5 + ln(1 + coalesce(n, 0)), 6) AS salience,
 round(30.0 / (30.0 + greatest((epoch_us(TIMESTAMP '{NOW}') - epoch_us(coalesce(updated_at, created_at))) / 86400000000.0, 0)), 6) AS recency
 FROM {_P} p LEFT JOIN (SELECT page_id, count(DISTINCT (date, summary)) AS n FROM timeline_entries GROUP BY 1) t ON t.page_id = p.id""")
 def page_salience(spark: SparkSession, folder: str) -> DataFrame:
