@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import chunking, emails, knn, names, neardup, packing, pii, spans, tokens
+from . import chunking, emails, knn, names, neardup, packing, pii, spans, sql, tokens
 
 
 def _texts(spark: SparkSession, folder: str) -> DataFrame:
@@ -105,4 +105,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(sql.ORACLES)
