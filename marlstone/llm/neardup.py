@@ -161,7 +161,8 @@ def _bucket_edges(sets: DataFrame, bands: int, rows: int, kind: str, threshold:
 
     members = sets.select("k", "sig").mapInArrow(keys, f"k {kind}, bucket bigint, bits bigint")
     centres = members.groupBy("bucket").agg(F.min(F.struct("k", "bits")).alias("c"), F.max("k").alias("high")).where("c.k <> high")
-    both = members.join(centres, "bucket").where((F.col("k") != F.col("c.k")) & (F.bit_count(F.col("bits").bitwiseXOR(F.col("c.bits"))) <= most))
+    # the planner knows nothing of the bands' number: a merge join keeps it from broadcasting them
+    both = members.join(centres.hint("merge"), "bucket").where((F.col("k") != F.col("c.k")) & (F.bit_count(F.col("bits").bitwiseXOR(F.col("c.bits"))) <= most))
     return both.select(F.col("c.k").alias("a"), F.col("k").alias("b")).distinct()
 
 
@@ -203,7 +204,7 @@ def _verified(
     tasks = blocked.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "k", "component", "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y")
     )
-    members = tasks.join(texts, "k")
+    members = tasks.join(texts.hint("merge"), "k")
     slack = 5 * np.sqrt(threshold * (1 - threshold) / bins)
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:

@@ -278,7 +278,7 @@ def shared_spans(df: DataFrame, key: str = "doc_id", text: str = "text", width:
 
     candidates = rows.mapInArrow(name, _ASKED).groupBy("bucket").applyInPandas(_answers(6), _RUNS)
     chosen = candidates.groupBy("doc").agg(F.collect_list(F.struct("bucket", "runs")).alias("runs"))
-    read = rows.join(chosen, "doc").select("doc", "t", "runs")
+    read = rows.join(chosen.hint("merge"), "doc").select("doc", "t", "runs")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush():
