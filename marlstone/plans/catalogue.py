@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import hierarchy
 from ..sources.tables import table
-from . import documents, knowledge, streams  # noqa: F401 - they register their queries
+from . import documents, knowledge, rankings, streams  # noqa: F401 - they register their queries
 from .registry import ORACLES, QUERIES
 
 FLAGSHIP = "hybrid_search"
