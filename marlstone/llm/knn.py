@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from ..session import materialize
 
 #: The curves: how many, grid dimensions and bits each, neighbours looked at on each side.
-CURVES, GRID, BITS, REACH = 8, 16, 4, 32
+CURVES, GRID, BITS, REACH = 12, 16, 4, 32
 #: What half precision may take off a cosine of unit vectors.
 SLACK = 0.002
 
