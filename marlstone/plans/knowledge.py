@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scores, text
-from ..operators import graph, hierarchy, pages as page_ops, search
+from ..operators import graph, pages as page_ops, search
 from ..sources.tables import table
 from .registry import query
 
