@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import atexit
 import os
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _written: list[str] = []
+_shipped: set[str] = set()
 
 
 def session(app: str = "marlstone", cores: str | int = "*", **conf: str) -> SparkSession:
@@ -31,6 +34,19 @@ def session(app: str = "marlstone", cores: str | int = "*", **conf: str) -> Spar
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once an application, wherever they run."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    folder = Path(tempfile.mkdtemp(prefix="marlstone-ship-"))  # the driver serves the file from here to the end
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    shutil.copytree(package, folder / "staged" / package.name, ignore=shutil.ignore_patterns("__pycache__"))
+    context.addPyFile(shutil.make_archive(str(folder / package.name), "zip", folder / "staged"))
+    _shipped.add(context.applicationId)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that outlives executors: spark.checkpoint.dir, or (only where that is unset, as in tests) a temporary one."""
     found = spark.conf.get("spark.checkpoint.dir", None)
