@@ -215,6 +215,24 @@ def test_unmarked_history_is_found_by_its_ancestor(spark):
     assert sorted((r["id"], r["line_no"]) for r in emails.new_lines(df).collect()) == [(1, 1), (2, 1)]
 
 
+def test_unmarked_history_without_a_closing_is_found(spark):
+    draw = random.Random(14)
+    old = [" ".join(f"{w}{draw.randrange(900)}" for w in sentence(draw, 12).split()) for _ in range(3)]
+    short = "We moved the green boxes to the north store today."
+    rows = [
+        (1, "\n".join(old), "2024-01-05"),
+        (2, "My new reply.\n\nOn Mon, Jun 23, 2025 at 7:28 PM Ann Lee wrote:\n\n" + "\n".join(old), "2024-01-06"),  # no marks
+        (3, f"My other reply.\n{old[0]} {old[1]}\n{old[2]}\n\nAnd some more.", "2024-01-07"),  # directly below, wrapped anew
+        (4, f"Mine again, with a part of it only.\n{old[1]} {old[2]}", "2024-01-08"),
+        (5, f"A reply of few words.\n{short}", "2024-01-01"), (6, short, "2024-01-09"),  # the original has the greater id
+        (7, f"{old[0]}\nthe rest is mine.", "2024-01-09"),  # one sentence alone may be the same by chance
+        (8, "\n".join(old), "2024-01-09"),  # the same mail again
+    ]
+    df = spark.createDataFrame(rows, "id int, compiled_truth string, created_at string")
+    got = sorted((r["id"], r["line_no"]) for r in emails.new_lines(df).collect())
+    assert got == [(1, 1), (1, 2), (1, 3), (2, 1), (3, 1), (3, 5), (4, 1), (5, 1), (6, 1), (7, 1), (7, 2), (8, 1), (8, 2), (8, 3)]
+
+
 # --- vectors (p7) ---
 
 
