@@ -6,10 +6,14 @@ all (group, curve, position) keys at once; each row is compared with the rows in
 neighbouring keys, the windows of all curves are merged, candidates are widened by one step (the
 neighbours of a neighbour), and exact cosines of the stored vectors rerank them.
 
+Equal vectors of a group stand for each other: only the one of the smallest id is placed and searched
+for, and the members of each set of copies are put in its place afterwards.
+
 Defined results
 - A vector is usable if it has ``dims`` numbers, all finite and not all zero; others have no neighbours.
 - Vectors of different groups (models) are never compared; a null group is a group.
-- Repeated rows of an id count once. Equal similarities rank by the smaller id.
+- Repeated rows of an id count once (of differing ones, one). Equal similarities rank by the smaller id;
+  the similarity of copies is 1.
 - Extra columns are not carried; an empty table gives no rows.
 """
 
@@ -19,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -82,9 +87,29 @@ def usable_matrix(column: pa.Array, dims: int) -> tuple[np.ndarray, np.ndarray]:
     return right[good], (values[good] / length[good, None]).astype(np.float32)
 
 
-def _placed(df: DataFrame, key: str, vector: str, group: str, dims: int, curves: int, seed: int) -> DataFrame:
-    """(g, curve, at, id, v): each usable vector once for each curve, with its position on it."""
-    rows = df.select(F.col(key).alias("id"), F.coalesce(F.col(group).cast("string"), F.lit("")).alias("g"), F.col(vector).cast("array<float>").alias("v"))
+def _usable(df: DataFrame, key: str, vector: str, group: str, dims: int) -> DataFrame:
+    """(id, g, same, v): each usable vector; ``same`` identifies its numbers."""
+    rows = df.select(F.col(key).alias("id"), F.coalesce(F.col(group).cast("string"), F.lit("")).alias("g"), F.col(group).isNull().alias("no"), F.col(vector).cast("array<float>").alias("v"))
+    kind = rows.schema["id"].dataType.simpleString()
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            which, _ = usable_matrix(batch.column(3), dims)
+            if not len(which):
+                continue
+            part = batch.take(pa.array(which))
+            numbers = part.column(3).flatten().to_numpy(zero_copy_only=False).reshape(-1, dims) + np.float32(0)  # no negative zeros
+            same = pa.array([xxhash.xxh3_128_digest(row.tobytes()) for row in np.ascontiguousarray(numbers)], pa.binary())
+            # a null group is a group of its own, not that of empty names
+            groups = pa.array(["" if no else f"={g}" for g, no in zip(part.column(1).to_pylist(), part.column(2).to_pylist())], pa.string())
+            yield pa.RecordBatch.from_arrays([part.column(0), groups, same, part.column(3)], ["id", "g", "same", "v"])
+
+    return rows.mapInArrow(check, f"id {kind}, g string, same binary, v array<float>").where("id IS NOT NULL")
+
+
+def _placed(rows: DataFrame, dims: int, curves: int, seed: int) -> DataFrame:
+    """(g, curve, at, id, v): each vector of (id, g, v) once for each curve, with its position on it."""
+    rows = rows.select("id", "g", "v")
     kind = rows.schema["id"].dataType.simpleString()
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,15 +170,13 @@ def _windows(placed: DataFrame, kind: str, dims: int, reach: int, least: float,
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two))], ["a", "b"])
             held = (lane[-reach:], vectors[-reach:], ids[-reach:])
 
-    ordered = placed.repartitionByRange("g", "curve", "at").sortWithinPartitions("g", "curve", "at")
+    # with the id, so that equal positions have an order and can be cut
+    ordered = placed.repartitionByRange("g", "curve", "at", "id").sortWithinPartitions("g", "curve", "at", "id")
     return ordered.mapInArrow(scan, f"a {kind}, b {kind}").where("a <> b").distinct()
 
 
-def _cosines(df: DataFrame, pairs: DataFrame, key: str, vector: str, dims: int) -> DataFrame:
-    """(a, b, similarity): exact cosines of pairs, from the stored vectors."""
-    ends = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    vectors = df.select(F.col(key).alias("id"), F.col(vector).cast("array<float>").alias("v")).join(ends, "id", "left_semi").dropDuplicates(["id"])
-    vectors = materialize(vectors)
+def _cosines(vectors: DataFrame, pairs: DataFrame, dims: int) -> DataFrame:
+    """(a, b, similarity): exact cosines of pairs, from the stored vectors (id, v)."""
     both = pairs.join(vectors.select(F.col("id").alias("a"), F.col("v").alias("x")), "a").join(vectors.select(F.col("id").alias("b"), F.col("v").alias("y")), "b")
     kind = pairs.schema["a"].dataType.simpleString()
 
@@ -174,19 +197,39 @@ def neighbours(
 
     With ``least``, only neighbours of at least that cosine are searched and given.
     """
-    kind = df.schema[key].dataType.simpleString()
-    placed = _placed(df, key, vector, group, dims, curves, seed)
-    near = materialize(_windows(placed, kind, dims, reach, -2.0 if least is None else least, k if least is None else None))
+    usable = _usable(df, key, vector, group, dims)
+    kind = usable.schema["id"].dataType.simpleString()
+    ids = usable.groupBy("id").agg(F.min(F.struct("g", "same")).alias("one")).select("id", "one.g", "one.same")
+    ids = materialize(ids)
+    copies = ids.groupBy("g", "same").agg(F.min("id").alias("rep"), F.count("*").alias("size"))
+    members = materialize(ids.join(copies.hint("merge"), ["g", "same"]).select("id", "rep", "size", "g", "same"))
+    chosen = members.where("id = rep").select("id", "g", "same")
+    single = materialize(usable.join(chosen.hint("merge"), ["id", "g", "same"]).select("id", "g", "v").dropDuplicates(["id"]))
+
+    near = materialize(_windows(_placed(single, dims, curves, seed), kind, dims, reach, -2.0 if least is None else least, k if least is None else None))
     pairs = near
     if least is not None:
         way = near.union(near.select("b", "a")).toDF("m", "e")
         wider = way.select("m", F.col("e").alias("a")).join(way.select("m", F.col("e").alias("b")), "m").where("a < b").select("a", "b")
         pairs = near.union(wider).distinct()
-    scored = _cosines(df, pairs, key, vector, dims)
+    scored = _cosines(single.select("id", "v"), pairs, dims)
     if least is not None:
         scored = scored.where(F.col("similarity") >= least)
-    both = scored.select(F.col("a").alias("id"), F.col("b").alias("neighbour"), "similarity").union(
-        scored.select(F.col("b").alias("id"), F.col("a").alias("neighbour"), "similarity")
+    both = scored.select(F.col("a").alias("rep"), F.col("b").alias("other"), "similarity").union(
+        scored.select(F.col("b").alias("rep"), F.col("a").alias("other"), "similarity")
+    )
+    order = Window.partitionBy("rep").orderBy(F.desc("similarity"), "other")
+    best = both.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k).select("rep", "other", "similarity")
+    # the smallest members of each set of copies: no other can be among the k of any row
+    small = members.where("size > 1").withColumn("n", F.row_number().over(Window.partitionBy("rep").orderBy("id"))).where(F.col("n") <= k + 1)
+    small = small.groupBy("rep").agg(F.sort_array(F.collect_list("id")).alias("ids"))
+    shown = best.join(small.select(F.col("rep").alias("other"), "ids"), "other", "left").select(
+        "rep", "similarity", F.explode(F.coalesce("ids", F.array("other"))).alias("neighbour")
     )
-    order = Window.partitionBy("id").orderBy(F.desc("similarity"), "neighbour")
-    return both.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    if least is None or least <= 1:
+        shown = shown.union(small.select("rep", F.lit(1.0).alias("similarity"), F.explode("ids").alias("neighbour")))
+    lists = shown.groupBy("rep").agg(F.sort_array(F.collect_list(F.struct((-F.col("similarity")).alias("minus"), "neighbour"))).alias("list"))
+    # one row of lists a set of copies: the rows of a large set stream past it
+    own = members.select("id", "rep").join(lists.hint("merge"), "rep").select("id", F.slice(F.filter("list", lambda x: x["neighbour"] != F.col("id")), 1, k).alias("list"))
+    each = own.select("id", F.posexplode("list").alias("at", "one"))
+    return each.select("id", F.col("one.neighbour").alias("neighbour"), (-F.col("one.minus")).alias("similarity"), (F.col("at") + 1).alias("rank"))

@@ -258,6 +258,40 @@ def test_neighbours_recall(spark):
     assert {r["id"] for r in nearest} == set(range(550)) and all(r["id"] != r["neighbour"] for r in nearest)
 
 
+def nearest_by_brute_force(vectors, k, least):
+    unit = vectors.astype(np.float64) / np.linalg.norm(vectors.astype(np.float64), axis=1)[:, None]
+    cosine = np.round(unit @ unit.T, 9)
+    out = {}
+    for i, row in enumerate(cosine):
+        order = sorted((j for j in range(len(row)) if j != i and row[j] >= least), key=lambda j: (-row[j], j))
+        out[i] = order[:k]
+    return out
+
+
+def test_copies_have_the_neighbours_of_smallest_id(spark):
+    draw = np.random.default_rng(17)
+    base = draw.standard_normal((80, 64))
+    close = base[0] + 0.15 * draw.standard_normal((3, 64))
+    vectors = np.concatenate([base, np.repeat(base[:1], 300, axis=0), close, np.repeat(close[:1], 2, axis=0)]).astype(np.float32)
+    vectors = vectors[draw.permutation(len(vectors))]
+    rows = [(i, "m", v.tolist()) for i, v in enumerate(vectors)]
+    df = spark.createDataFrame(rows + rows[:40], "id int, model string, embedding array<float>").repartition(7)
+    want = nearest_by_brute_force(vectors, 5, 0.9)
+    got = {}
+    for r in knn.neighbours(df, least=0.9).orderBy("id", "rank").collect():
+        got.setdefault(r["id"], []).append(r["neighbour"])
+    assert got == {i: found for i, found in want.items() if found}
+    nearest = {}
+    for r in knn.neighbours(df).orderBy("id", "rank").collect():
+        nearest.setdefault(r["id"], []).append(r["neighbour"])
+    assert all(nearest[i] == found for i, found in want.items() if len(found) == 5)
+
+
+def test_a_null_group_is_not_the_empty_one(spark):
+    df = spark.createDataFrame([(1, None, [1.0] * 64), (2, "", [1.0] * 64), (3, None, [1.0] * 64)], "id int, model string, embedding array<float>")
+    assert sorted((r["id"], r["neighbour"]) for r in knn.neighbours(df, least=0.9).collect()) == [(1, 3), (3, 1)]
+
+
 # --- packing (p9) ---
 
 
