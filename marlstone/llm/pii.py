@@ -3,8 +3,9 @@
 Emails, telephone numbers, personal numbers and postal addresses are found by the shapes their
 issuers give them; a shape that other numbers share needs a word that announces it. Names are found
 token by token: given names come from counting the first words of the titles of person pages, family
-names from a suffix classifier fitted on a bounded sample of those titles, and the two combine with
-titles, initials, particles and inverted order.
+names from looking words up among those of all titles and, where they are not known there, from a
+suffix classifier fitted on a bounded sample of them; ordinary words are counted over all bodies. Given
+and family names combine with titles, initials, particles and inverted order.
 
 Surrogates are keyed: digits and letters go through a keyed, format-preserving bijection (a Feistel
 network over each token's characters), so equal values get equal surrogates everywhere, different
@@ -26,12 +27,16 @@ import math
 import re
 import string
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from . import names
 
 #: Family names of the sample the classifier is fitted on, and how many ordinary words.
@@ -117,7 +122,8 @@ class Suffixes:
     SIZES = (2, 3, 4, 5)
 
     def __init__(self, positive: list[str], negative: list[str]):
-        self.known, self.ordinary = set(positive), set(negative)
+        # hashes, ascending, of the family names and the ordinary words whose odds alone would mislead
+        self.known = self.ordinary = np.zeros(0, dtype=np.int64)
         self.weights: dict[str, float] = {}
         counts = [self._count(positive), self._count(negative)]
         sizes = [max(len(positive), 1), max(len(negative), 1)]
@@ -139,22 +145,33 @@ class Suffixes:
                 out[feature] = out.get(feature, 0) + 1
         return out
 
+    def odds(self, word: str) -> float:
+        """Log odds that a plain word is a family name, by its shape alone."""
+        found = self._features(word)
+        # longer endings contain shorter ones: count the longest that was seen, and half of the rest
+        ends = [self.weights[f] for f in reversed(found[:-2]) if f in self.weights]
+        return (ends[0] if ends else -1.0) + sum(self.weights.get(f, 0.0) for f in found[-2:]) * 0.5
+
     def score(self, word: str) -> float:
         """Log odds that a plain word is a family name."""
-        if word in self.known:
-            return 20.0
-        if word in self.ordinary:
-            return -99.0
         if word not in self.seen:
             if len(self.seen) > 300_000:  # memory only
                 self.seen.clear()
-            found = self._features(word)
-            # longer endings contain shorter ones: count the longest that was seen, and half of the rest
-            ends = [self.weights[f] for f in reversed(found[:-2]) if f in self.weights]
-            self.seen[word] = (ends[0] if ends else -1.0) + sum(self.weights.get(f, 0.0) for f in found[-2:]) * 0.5
+            mark = _word_hash(word)
+            self.seen[word] = 20.0 if _holds(self.known, mark) else -99.0 if _holds(self.ordinary, mark) else self.odds(word)
         return self.seen[word]
 
 
+def _word_hash(word: str) -> int:
+    value = xxhash.xxh64_intdigest(word)
+    return value - (1 << 64) if value >> 63 else value
+
+
+def _holds(ascending: np.ndarray, value: int) -> bool:
+    at = int(np.searchsorted(ascending, value))
+    return at < len(ascending) and int(ascending[at]) == value
+
+
 class Finder:
     """All kinds of personal information in a text."""
 
@@ -376,7 +393,9 @@ def finder(pages: DataFrame, shorts: DataFrame, texts: DataFrame | None = None)
 
     Given names are first words of a fixed share of all titles (counted over all of them); the
     classifier is fitted on at most SAMPLE_NAMES family names, chosen by hash, and SAMPLE_WORDS
-    ordinary capitalised words of the pages' bodies.
+    ordinary capitalised words of the pages' bodies. Its weights alone come from samples: the family
+    names of all titles and the ordinary words of all bodies are known. Of them only those come to the
+    driver whose odds would say otherwise, as hashes of 8 bytes.
     """
     people = pages.where("type = 'person'").select(F.col("id"), F.col("title"), F.col("slug")).distinct()
     table = [(r[0], r[1]) for r in shorts.where("given IS NOT NULL AND short_form IS NOT NULL").select("given", "short_form").distinct().limit(100_000).collect()]
@@ -391,32 +410,64 @@ def finder(pages: DataFrame, shorts: DataFrame, texts: DataFrame | None = None)
                 reading = common.reading(found, comma) or common.reading(tail, False)
                 if reading:
                     own = next((w for w in (found if found else tail) if reading[1].endswith(_plain(w).strip(".")) and len(w) > 3), None)
-                    if own:
-                        out.append(_plain(own).strip("."))
-            yield pd.DataFrame({"word": out})
+                    if own and (word := _plain(own).strip(".")) and word not in given:
+                        out.append(word)
+            yield pd.DataFrame({"word": out}, dtype=object)
 
-    last = people.mapInPandas(last_words, "word string").groupBy("word").count()
-    family = sorted(r["word"] for r in _sampled(last.where(F.length("word") > 0), "word", SAMPLE_NAMES).collect() if r["word"] not in given)
+    last = materialize(people.mapInPandas(last_words, "word string").distinct())
+    family = sorted(r["word"] for r in _sampled(last, "word", SAMPLE_NAMES).collect())
     # ordinary words: capitalised words of a bounded sample of bodies that do not follow given names
-    bodies = _sampled(pages.where("compiled_truth IS NOT NULL").select("id", F.col("compiled_truth").alias("t")), "id", SAMPLE_BODIES)
+    whole = pages.where("compiled_truth IS NOT NULL").select("id", F.col("compiled_truth").alias("t"))
+    bodies = _sampled(whole, "id", SAMPLE_BODIES)
 
     def capitals(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shapes: dict[str, tuple[str, bool]] = {}
         for frame in frames:
-            out = []
+            n, named = Counter(), Counter()
             for text in frame["t"]:
-                before = ""
+                before = False
                 for token in _TOKEN.findall(text):
-                    if token[0].isupper() and len(token) > 3:
-                        out.append((_plain(token), int(before in given or len(before) == 1 or before in names.HONORIFICS or before in names.PARTICLES)))
-                    before = _plain(token)
-            yield pd.DataFrame(out, columns=["word", "named"])
-
-    counted = bodies.mapInPandas(capitals, "word string, named int").groupBy("word").agg(F.count("*").alias("n"), F.sum("named").alias("named"))
-    plain = counted.where("named <= 0.05 * n OR (named <= 1 AND n > 2)").orderBy(F.desc("n"), "word").limit(SAMPLE_WORDS).collect()
+                    found = shapes.get(token)
+                    if found is None:
+                        if len(shapes) > 400_000:  # memory only
+                            shapes.clear()
+                        word = _plain(token)
+                        found = shapes[token] = (word, word in given or len(word) == 1 or word in names.HONORIFICS or word in names.PARTICLES)
+                    if len(token) > 3 and token[0].isupper():
+                        n[found[0]] += 1
+                        named[found[0]] += before
+                    before = found[1]
+            yield pd.DataFrame({"word": list(n), "n": list(n.values()), "named": [int(named[w]) for w in n]}).astype({"word": object, "n": int, "named": int})
+
+    def count(df: DataFrame) -> DataFrame:
+        return df.select("t").mapInPandas(capitals, "word string, n bigint, named bigint").groupBy("word").agg(F.sum("n").alias("n"), F.sum("named").alias("named"))
+
+    counted = count(bodies)
+    seldom_named = "named <= 0.05 * n OR (named <= 1 AND n > 2)"
+    plain = counted.where(seldom_named).orderBy(F.desc("n"), "word").limit(SAMPLE_WORDS).collect()
     known, endings = set(family), {f[-5:] for f in family}
     # a seldom word that is or ends like a family name may be one: it is no example of an ordinary word
     ordinary = {r["word"] for r in plain if r["word"] not in given and (r["n"] >= OFTEN or (r["word"] not in known and r["word"][-5:] not in endings))}
-    return Finder(given, Suffixes([f for f in family if f not in ordinary], sorted(ordinary)))
+    families = Suffixes([f for f in family if f not in ordinary], sorted(ordinary))
+
+    # the same rule over all titles and bodies; words come to the driver where the odds alone would decide otherwise
+    ends = last.select(F.substring("word", -5, 5).alias("ending"), F.lit(True).alias("like")).distinct()
+    told = count(whole).where(seldom_named).select("word", "n", F.substring("word", -5, 5).alias("ending"))
+    told = told.join(ends.hint("merge"), "ending", "left").select("word", F.when((F.col("n") >= OFTEN) | F.col("like").isNull(), True).alias("plain"))
+    words = told.where("plain").join(last.withColumn("family", F.lit(True)).hint("merge"), "word", "full")
+
+    def misjudged(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            out = []
+            for word, plain in zip(frame["word"], frame["plain"].notna()):
+                if word not in given and (families.odds(word) >= BESIDE if plain else families.odds(word) < ALONE):
+                    out.append((_word_hash(word), bool(plain)))
+            yield pd.DataFrame(out, columns=["mark", "plain"])
+
+    marks = words.select("word", "plain").mapInPandas(misjudged, "mark bigint, plain boolean").toPandas()
+    plain = marks["plain"].astype(bool)
+    families.known, families.ordinary = (np.sort(marks["mark"][which].to_numpy(dtype=np.int64)) for which in (~plain, plain))
+    return Finder(given, families)
 
 
 def _sampled(df: DataFrame, key: str, most: int) -> DataFrame:

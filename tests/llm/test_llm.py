@@ -381,6 +381,23 @@ def finder(spark):
     return pii.finder(df, spark.createDataFrame([("Thomas", "Tom")], "given string, short_form string"))
 
 
+def test_names_and_ordinary_words_outside_the_samples_are_known(spark, monkeypatch):
+    draw = random.Random(21)
+    odd = ["Wuxqo", "Yzzub", "Qephlu", "Jyvvax", "Ohhmyk"]
+    families = odd + ["".join(draw.choice("bdfgklmnprstv") + draw.choice("aeiou") for _ in range(3)).capitalize() + "croft" for _ in range(120)]
+    people = [(i, "person", f"people/{i}", f"{g} {f}", None) for i, (f, g) in enumerate(itertools.product(families, ("Thomas", "Ulrike")))]
+    bodies = [(1000 + i, "note", "n", "t", f"The {'Harbour' if i % 4 else 'Undercroft'} office moved. Budget first. Drift.") for i in range(400)]
+    df = spark.createDataFrame(people + bodies, "id int, type string, slug string, title string, compiled_truth string")
+    shorts = spark.createDataFrame([("Thomas", "Tom")], "given string, short_form string")
+    monkeypatch.setattr(pii, "SAMPLE_NAMES", 20)
+    monkeypatch.setattr(pii, "SAMPLE_BODIES", 10)
+    small = pii.finder(df, shorts)
+    for name in odd:
+        text = f"we heard that {name} agreed"
+        assert [text[a:z] for a, z, _ in small.find(text)] == [name]
+    assert small.find("we heard that Undercroft moved") == [] and small.find("the Harbour moved") == []
+
+
 CASES = [
     ("Ask Thomas Gazekicroft's team in Tilmouth.", {("name", "Thomas Gazekicroft")}), ("Dr. Gazekicroft met Rizobauer, Ulrike today", {("name", "Gazekicroft"), ("name", "Rizobauer, Ulrike")}),
     ("T. Tovekazu and CHLOÉ KELIKAZU agreed", {("name", "T. Tovekazu"), ("name", "CHLOÉ KELIKAZU")}), ("Lunch with Yusuf, Tom and Stephen N. de la Rizobauer", {("name", "Yusuf"), ("name", "Tom"), ("name", "Stephen N. de la Rizobauer")}),
