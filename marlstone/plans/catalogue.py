@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import hierarchy
+from ..session import materialize
 from ..sources.tables import table
 from . import documents, knowledge, rankings, streams  # noqa: F401 - they register their queries
 from .registry import ORACLES, QUERIES
@@ -30,8 +31,14 @@ def p5_hierarchy(spark: SparkSession, folder: str) -> DataFrame:
     return tree.select("id", "parent", "root", "depth", "descendants", "lft", "rgt", path.alias("path"))
 
 
+def p5_descendants(spark: SparkSession, folder: str) -> DataFrame:
+    """All descendants of every job, listed by nested-set ranges; jobs in or below a loop have none."""
+    tree = materialize(hierarchy.hierarchy(table(spark, folder, "minion_jobs"), "id", "parent_job_id"))
+    return hierarchy.descendants(tree, tree.where("descendants > 0"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p5_found": p5_found, "p5_hierarchy": p5_hierarchy} | QUERIES
+    return {"p5_found": p5_found, "p5_hierarchy": p5_hierarchy, "p5_descendants": p5_descendants} | QUERIES
 
 
 P5_TREE = """
@@ -66,4 +73,7 @@ pre AS (SELECT k.below AS id, sum(o.off) AS lft FROM kin k JOIN offs o ON o.id =
 SELECT s.id, s.parent, s.root, CAST(s.depth AS BIGINT) AS depth, s.n - 1 AS descendants, CAST(p.lft AS BIGINT) AS lft, CAST(p.lft + s.n AS BIGINT) AS rgt, s.path
 FROM sized s JOIN pre p USING (id)
 UNION ALL SELECT id, parent, root, -1, NULL, NULL, NULL, NULL FROM looped""",
+        "p5_descendants": f"""WITH RECURSIVE {P5_TREE},
+kin AS (SELECT parent AS ancestor, id FROM tree WHERE parent IS NOT NULL UNION ALL SELECT t.parent, k.id FROM kin k JOIN tree t ON t.id = k.ancestor WHERE t.parent IS NOT NULL)
+SELECT ancestor, id FROM kin""",
     }
