@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scores, text
-from ..operators import graph, pages as page_ops, search
+from ..operators import graph, pages as page_ops, search, vectors
 from ..sources.tables import table
 from .registry import query
 
@@ -375,14 +375,13 @@ def substring_search(spark: SparkSession, folder: str) -> DataFrame:
     return search.substring_hits(table(spark, folder, "documents"), "预算", "text").select("doc_id", F.round("score", 6).alias("score"))
 
 
-@query("""WITH q AS (SELECT embedding AS v FROM embeddings WHERE vec_id = (SELECT min(vec_id) FROM embeddings))
-SELECT vec_id, round(list_cosine_similarity(CAST(embedding AS DOUBLE[]), CAST(q.v AS DOUBLE[])), 5) AS score FROM embeddings, q ORDER BY list_cosine_similarity(CAST(embedding AS DOUBLE[]), CAST(q.v AS DOUBLE[])) DESC, vec_id LIMIT 10""")
+@query("""WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE len(embedding) = 64)
+SELECT vec_id, neighbour, round(score, 5) AS score, rank FROM (SELECT q.vec_id, v.vec_id AS neighbour, list_cosine_similarity(q.e, v.e) AS score,
+row_number() OVER (PARTITION BY q.vec_id ORDER BY list_cosine_similarity(q.e, v.e) DESC, v.vec_id) AS rank FROM v q, v WHERE q.vec_id % 50 = 0 AND q.vec_id <> v.vec_id) WHERE rank <= 10""")
 def nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
-    """The ten vectors most similar to the first one: scored on the scan, then a top-k."""
-    rows = table(spark, folder, "embeddings")
-    wanted = rows.orderBy("vec_id").select("embedding").first()
-    hits = search.vector_hits(rows, list(wanted[0]) if wanted else [0.0])
-    return hits.orderBy(F.desc("score"), "vec_id").limit(10).select("vec_id", F.round("score", 5).alias("score"))
+    """The ten vectors most similar to each of those with an id divisible by 50, among all."""
+    found = vectors.nearest_of(table(spark, folder, "embeddings"), F.col("id") % 50 == 0, "vec_id", k=10)
+    return found.select(F.col("id").alias("vec_id"), "neighbour", F.round("similarity", 5).alias("score"), "rank")
 
 
 @query(f"""WITH k AS (SELECT page_id AS id, max(score) AS score FROM {_KEYWORD} GROUP BY 1), a AS (SELECT k.id, row_number() OVER (ORDER BY k.score DESC, k.id) - 1 AS r FROM k JOIN {_LIVE} p USING (id) QUALIFY r < 60),
