@@ -22,8 +22,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -132,47 +134,89 @@ def _placed(rows: DataFrame, dims: int, curves: int, seed: int) -> DataFrame:
     return rows.mapInArrow(place, f"g string, curve int, at bigint, id {kind}, v binary")
 
 
+def _near(lane: np.ndarray, vectors: np.ndarray, ids: np.ndarray, old: int, reach: int, least: float, keep: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """(a, b): pairs of rows in curve order within ``reach`` of each other, not both among the first ``old``."""
+    left, right, score = [], [], []
+    for step in range(1, min(reach, len(ids) - 1) + 1):
+        begin = max(0, old - step)  # pairs wholly among the held rows are known
+        cosine = np.einsum("ij,ij->i", vectors[begin:-step], vectors[begin + step :])
+        hit = np.flatnonzero((cosine >= least - SLACK) & (lane[begin:-step] == lane[begin + step :])) + begin
+        left.append(hit), right.append(hit + step), score.append(cosine[hit - begin])
+    if not left:
+        return ids[:0], ids[:0]
+    a, b, s = map(np.concatenate, (left, right, score))
+    if keep is not None and len(a):
+        ends = np.concatenate([a, b])
+        order = np.lexsort((-np.concatenate([s, s]), ends))
+        ends = ends[order]
+        rank = np.arange(len(ends)) - np.searchsorted(ends, ends)
+        best = np.unique(order[rank < keep] % len(a))
+        a, b = a[best], b[best]
+    return np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b])
+
+
+def _lanes(names: list[str], curves: np.ndarray) -> np.ndarray:
+    """A number for each (group, curve)."""
+    found, code = np.unique(np.array(names, dtype=object), return_inverse=True)
+    return np.array([xxhash.xxh64_intdigest(n) >> 8 for n in found], dtype=np.int64)[code] * 31 + curves
+
+
 def _windows(placed: DataFrame, kind: str, dims: int, reach: int, least: float, keep: int | None) -> DataFrame:
     """(a, b): pairs within ``reach`` keys on some curve with a cosine of about ``least`` or more.
 
-    With ``keep``, of each row only its ``keep`` best partners in each window are given.
+    With ``keep``, of each row only its ``keep`` best partners in each window are given. Windows go on
+    over the borders of the range partitions: each gives its first and last ``reach`` rows away, and
+    those of neighbouring partitions meet afterwards.
     """
-
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        part = TaskContext.get().partitionId()
+        held = head = id_type = None
+
+        def border(rows, number: int, side: int) -> pa.RecordBatch:
+            lane, vectors, ids = rows
+            n = len(ids)
+            ids = pa.array(ids, id_type)
+            packed = pa.array([v.tobytes() for v in vectors.astype(np.float16)], pa.binary())
+            return pa.RecordBatch.from_arrays(
+                [ids, ids, pa.array(np.full(n, number, np.int32)), pa.array(np.arange(n, dtype=np.int32) + side * reach), pa.array(lane), packed], ["a", "b", "border", "at", "lane", "v"]
+            )
+
         for batch in batches:
             if not batch.num_rows:
                 continue
-            names, code = np.unique(np.array(batch.column(0).to_pylist(), dtype=object), return_inverse=True)
-            lane = np.array([hash(n) for n in names], dtype=np.int64)[code] * 31 + batch.column(1).to_numpy()
+            id_type = batch.column(3).type
+            lane = _lanes(batch.column(0).to_pylist(), batch.column(1).to_numpy())
             vectors = np.frombuffer(b"".join(batch.column(4).to_pylist()), dtype=np.float16).reshape(-1, dims).astype(np.float32)
             ids = batch.column(3).to_numpy(zero_copy_only=False)
+            if head is None or len(head[2]) < reach:
+                more = (lane[:reach], vectors[:reach], ids[:reach])
+                head = more if head is None else tuple(np.concatenate([x, y])[:reach] for x, y in zip(head, more))
+            old = 0
             if held is not None:
+                old = len(held[2])
                 lane, vectors, ids = (np.concatenate([x, y]) for x, y in zip(held, (lane, vectors, ids)))
-            old = 0 if held is None else len(held[0])
-            left, right, score = [], [], []
-            for step in range(1, min(reach, len(ids) - 1) + 1):
-                begin = max(0, old - step)  # pairs wholly among the held rows are known
-                cosine = np.einsum("ij,ij->i", vectors[begin:-step], vectors[begin + step :])
-                hit = np.flatnonzero((cosine >= least - SLACK) & (lane[begin:-step] == lane[begin + step :])) + begin
-                left.append(hit), right.append(hit + step), score.append(cosine[hit - begin])
-            if left:
-                a, b, s = map(np.concatenate, (left, right, score))
-                if keep is not None and len(a):
-                    ends, order = np.concatenate([a, b]), None
-                    order = np.lexsort((-np.concatenate([s, s]), ends))
-                    ends = ends[order]
-                    rank = np.arange(len(ends)) - np.searchsorted(ends, ends)
-                    best = np.unique(order[rank < keep] % len(a))
-                    a, b = a[best], b[best]
-                if len(a):
-                    one, two = ids[a], ids[b]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two))], ["a", "b"])
+            one, two = _near(lane, vectors, ids, old, reach, least, keep)
+            if len(one):
+                n = len(one)
+                nothing = [pa.nulls(n, t) for t in (pa.int32(), pa.int32(), pa.int64(), pa.binary())]
+                yield pa.RecordBatch.from_arrays([pa.array(one, id_type), pa.array(two, id_type), *nothing], ["a", "b", "border", "at", "lane", "v"])
             held = (lane[-reach:], vectors[-reach:], ids[-reach:])
+        if held is not None:  # the last rows come before the next partition's first ones
+            yield border(held, part, 0)
+            yield border(head, part - 1, 1)
+
+    def cross(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("at")
+        vectors = np.frombuffer(b"".join(frame["v"]), dtype=np.float16).reshape(-1, dims).astype(np.float32)
+        old = int((frame["at"] < reach).sum())
+        one, two = _near(frame["lane"].to_numpy(), vectors, frame["a"].to_numpy(), old, reach, least, keep)
+        return pd.DataFrame({"a": one, "b": two})
 
     # with the id, so that equal positions have an order and can be cut
     ordered = placed.repartitionByRange("g", "curve", "at", "id").sortWithinPartitions("g", "curve", "at", "id")
-    return ordered.mapInArrow(scan, f"a {kind}, b {kind}").where("a <> b").distinct()
+    found = materialize(ordered.mapInArrow(scan, f"a {kind}, b {kind}, border int, at int, lane bigint, v binary"))
+    over = found.where("border IS NOT NULL").groupBy("border").applyInPandas(cross, f"a {kind}, b {kind}")
+    return found.where("border IS NULL").select("a", "b").union(over).where("a <> b").distinct()
 
 
 def _cosines(vectors: DataFrame, pairs: DataFrame, dims: int) -> DataFrame:

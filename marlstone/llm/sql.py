@@ -22,10 +22,15 @@ AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
 p AS (SELECT a.id AS a, b.id AS b, list_cosine_similarity(a.e, b.e) AS c FROM v a JOIN v b ON a.model IS NOT DISTINCT FROM b.model AND a.id <> b.id)
 SELECT DISTINCT least(a, b) AS chunk_id_a, greatest(a, b) AS chunk_id_b FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY c DESC, b) AS n FROM p) WHERE n <= 5 AND c >= 0.9"""
 
+P7_NEAREST = """WITH v AS (SELECT DISTINCT id, model, CAST(embedding AS DOUBLE[]) AS e FROM content_chunks WHERE len(embedding) = 64
+AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+p AS (SELECT a.id, b.id AS neighbour, list_cosine_similarity(a.e, b.e) AS similarity FROM v a JOIN v b ON a.model IS NOT DISTINCT FROM b.model AND a.id <> b.id WHERE a.id % 50 = 0)
+SELECT id, neighbour, round(similarity, 6) AS similarity, rank FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY similarity DESC, neighbour) AS rank FROM p) WHERE rank <= 5"""
+
 P10_FOUND = """WITH h AS (SELECT doc_id, s, hash(substring(text, CAST(s + 1 AS BIGINT), 200)) AS h FROM (SELECT doc_id, text, unnest(range(0, length(text) - 199)) AS s FROM documents WHERE length(text) >= 200)),
 m AS (SELECT doc_id, s FROM h WHERE h IN (SELECT h FROM h GROUP BY h HAVING min(doc_id) <> max(doc_id))),
 i AS (SELECT *, CASE WHEN s <= lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 200 THEN 0 ELSE 1 END AS fresh FROM m),
 g AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY s) AS island FROM i)
 SELECT doc_id, CAST(min(s) AS INT) AS span_start, CAST(max(s) + 200 AS INT) AS span_end FROM g GROUP BY doc_id, island"""
 
-ORACLES = {"p2_found": P2_FOUND, "p4_found": P4_FOUND, "p7_found": P7_FOUND, "p10_found": P10_FOUND}
+ORACLES = {"p2_found": P2_FOUND, "p4_found": P4_FOUND, "p7_found": P7_FOUND, "p7_nearest": P7_NEAREST, "p10_found": P10_FOUND}

@@ -208,6 +208,19 @@ def test_new_lines(spark):
     assert emails.new_lines(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    "mail, want",
+    [
+        ("Thanks for the quick reply\nPlease fix the second table before Monday.\nIt is urgent.", {1, 2, 3}), ("Hi Ann\nBest option is plan B\nCheers for sending that over\nWe go on.", {1, 2, 3, 4}),
+        ("All is well.\n\nBest, Tom Miller\nHead of plans", {1}), ("All is well.\nkind regards tom", {1}), ("All is well.\nThanks again for everything\n\nAnn", {1, 2, 4}),
+        ("Thanks Tom\nthe table that you sent me yesterday is fine with us all.", {1, 2}), ("Fine.\nBR Chloé\n\nThis mail is meant for its addressee alone and for nobody else at all.", {1}),
+    ],
+)
+def test_closings_are_told_from_sentences(mail, want):
+    kinds = emails.structure(emails.lines_of(mail))
+    assert {i for i, k in enumerate(kinds, 1) if k == emails.OWN} == want
+
+
 def test_unmarked_history_is_found_by_its_ancestor(spark):
     draw = random.Random(4)
     old = " ".join(f"{w}{draw.randrange(900)}" for w in sentence(draw, 40).split())
@@ -287,6 +300,23 @@ def test_copies_have_the_neighbours_of_smallest_id(spark):
     assert all(nearest[i] == found for i, found in want.items() if len(found) == 5)
 
 
+def test_windows_go_on_over_the_borders_of_partitions(spark):
+    draw = np.random.default_rng(23)
+    df = spark.createDataFrame([(i, "m", v.tolist()) for i, v in enumerate(draw.standard_normal((400, 64)).astype(np.float32))], "id int, model string, embedding array<float>")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    got = []
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        for parts in ("1", "7"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            placed = knn._placed(knn._usable(df, "id", "embedding", "model", 64), 64, 2, 7)
+            got.append({(r["a"], r["b"]) for r in knn._windows(placed, "int", 64, 8, -2.0, None).collect()})
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert got[0] == got[1] and len(got[0]) > 400 * 8
+
+
 def test_a_null_group_is_not_the_empty_one(spark):
     df = spark.createDataFrame([(1, None, [1.0] * 64), (2, "", [1.0] * 64), (3, None, [1.0] * 64)], "id int, model string, embedding array<float>")
     assert sorted((r["id"], r["neighbour"]) for r in knn.neighbours(df, least=0.9).collect()) == [(1, 3), (3, 1)]
@@ -447,7 +477,7 @@ DATA = "/root/testdata/sf0.001"
 
 
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="needs the driver's tables")
-@pytest.mark.parametrize("name", ["p2_found", "p4_found", "p7_found", "p10_found"])
+@pytest.mark.parametrize("name", ["p2_found", "p4_found", "p7_found", "p7_nearest", "p10_found"])
 def test_queries_against_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     from marlstone.llm import queries, sql
