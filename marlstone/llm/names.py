@@ -87,7 +87,7 @@ def monge_elkan(a: list[str], b: list[str]) -> float:
 
 
 def _words(text: str) -> list[str]:
-    return re.findall(r"[a-z]+(?:'[a-z]+)*\.?", plain(re.sub(r"(?<=[a-zß-ÿ])(?=[A-ZÀ-Þ][a-zß-ÿ'])", " ", text).replace("’", "'")))
+    return re.findall(r"[^\W\d_]+(?:'[^\W\d_]+)*\.?", plain(re.sub(r"(?<=[a-zß-ÿ])(?=[A-ZÀ-Þ][a-zß-ÿ'])", " ", text).replace("’", "'")))
 
 
 _JOINED = re.compile(r"\b(Mc|Mac|O'|O’|al-|Al-|AL-)\s*([A-ZÀ-Þ])")
@@ -238,6 +238,14 @@ def _seeds() -> np.ndarray:
     return np.random.default_rng(11).integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+def short_forms(shorts: DataFrame, most: int = 100_000) -> list[tuple[str, str]]:
+    """The fixed table of common short forms, which is shipped whole; a table of more than ``most`` rows is refused."""
+    rows = shorts.where("given IS NOT NULL AND short_form IS NOT NULL").select("given", "short_form").distinct().limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} short forms: give a table of common ones")
+    return sorted((r[0], r[1]) for r in rows)
+
+
 def _common(rows: DataFrame, kind: str, shorts: list[tuple[str, str]]) -> Common:
     """Counting the words of all names of one type; only those in a fixed share of names come to the driver.
 
@@ -379,8 +387,7 @@ def entities(
 ) -> DataFrame:
     """(id, entity): the entity of each row of the given types that has a readable name."""
     key_type = df.schema[key].dataType.simpleString()
-    # a fixed table of common short forms
-    table = [(r[0], r[1]) for r in shorts.where("given IS NOT NULL AND short_form IS NOT NULL").select("given", "short_form").distinct().limit(100_000).collect()]
+    table = short_forms(shorts)
     read = None
     for one in kinds:
         rows = df.where(F.col(kind) == one).select(F.col(key).alias("id"), F.col(title).alias("title"), F.col(slug).alias("slug")).where("id IS NOT NULL").distinct()

@@ -7,11 +7,12 @@ names from looking words up among those of all titles and, where they are not kn
 suffix classifier fitted on a bounded sample of them; ordinary words are counted over all bodies. Given
 and family names combine with titles, initials, particles and inverted order.
 
-Surrogates are keyed: digits and letters go through a keyed, format-preserving bijection (a Feistel
-network over each token's characters), so equal values get equal surrogates everywhere, different
-ones never collide, and length, case, accents, separators and the last letter of a name (which
-carries gender in many languages) stay. First letters have a permutation of their own, so initials
-stay true to the names they abbreviate.
+Surrogates are keyed: digits and letters go through a keyed, format-preserving bijection without fixed
+points (a Feistel network over each token's characters, a shift, and the network backwards), so equal
+values get equal surrogates everywhere, different ones never collide, none equals its original, and
+length, script, case, accents, separators and the ending of a name that tells gender in its language
+stay. First letters have a permutation of their own, so initials stay true to the names they
+abbreviate. ``audit`` counts what is left in the texts, unchanged values and collisions.
 
 Defined results
 - Null texts give no value and stay null; empty texts stay empty; long texts are processed whole.
@@ -22,7 +23,7 @@ Defined results
 
 from __future__ import annotations
 
-import hmac
+import hashlib
 import math
 import re
 import string
@@ -45,6 +46,8 @@ SAMPLE_NAMES, SAMPLE_WORDS = 30_000, 30_000
 SAMPLE_BODIES, OFTEN = 3_000, 25
 #: Log odds from which a capitalised word is a family name: standing alone, and beside a given name.
 ALONE, BESIDE = 4.0, -3.0
+#: The odds of a word that titles hold as a family name.
+KNOWN = 20.0
 
 # Common short forms of given names, besides those of the table given.
 SHORT_FORMS = (
@@ -57,7 +60,7 @@ SHORT_FORMS = (
 
 # White space inside a value: blanks, or one line end with quote marks.
 _S = r"(?:[ \t]+|[ \t]*\r?\n[ \t]*(?:[>|][ \t]*)*)"
-_W = r"[A-Za-zÀ-ÖØ-öø-ž]"
+_W = r"[^\W\d_]"
 
 _PART = r"[A-Za-z0-9_+\-]+"
 _EMAIL = re.compile(
@@ -158,7 +161,7 @@ class Suffixes:
             if len(self.seen) > 300_000:  # memory only
                 self.seen.clear()
             mark = _word_hash(word)
-            self.seen[word] = 20.0 if _holds(self.known, mark) else -99.0 if _holds(self.ordinary, mark) else self.odds(word)
+            self.seen[word] = KNOWN if _holds(self.known, mark) else -99.0 if _holds(self.ordinary, mark) else self.odds(word)
         return self.seen[word]
 
 
@@ -227,7 +230,9 @@ class Finder:
             plain = _plain(token)
             given = plain in self.given and len(plain) > 1
             base = plain.removeprefix("al-")
-            odds = self.families.score(base) if len(base) >= 4 and not _DIGITS.search(token) else -99.0
+            odds = self.families.score(base) if len(base) >= 2 and not _DIGITS.search(token) else -99.0
+            if len(base) < 4 and odds not in (KNOWN, -99.0):  # too short for a shape: a name only beside a title, an initial or a given name
+                odds = 0.5 if token[0].isupper() and token[1:].islower() else -99.0
             upper = token[0].isupper() or token.startswith("al-")
             may = given or (upper and (odds >= 0 or len(token) == 1)) or plain in names.PARTICLES
             found = self.seen[token] = (plain, given, odds, may)
@@ -261,7 +266,7 @@ class Finder:
                 return i
             word = tokens[j][2]
             plain, is_given, odds, _ = info[j]
-            if len(plain) < 4 or not (word[0].isupper() or j > i or small or least <= BESIDE or word.startswith("al-")):
+            if len(plain) < 2 or not (word[0].isupper() or j > i or small or least <= BESIDE or word.startswith("al-")):
                 return i
             if is_given and least > BESIDE:
                 return i
@@ -398,7 +403,7 @@ def finder(pages: DataFrame, shorts: DataFrame, texts: DataFrame | None = None)
     driver whose odds would say otherwise, as hashes of 8 bytes.
     """
     people = pages.where("type = 'person'").select(F.col("id"), F.col("title"), F.col("slug")).distinct()
-    table = [(r[0], r[1]) for r in shorts.where("given IS NOT NULL AND short_form IS NOT NULL").select("given", "short_form").distinct().limit(100_000).collect()]
+    table = names.short_forms(shorts)
     common = names._common(people, "person", table)
     given = set(common.known) | set(common.short) | {names.plain(x) for pair in table for x in pair} | set(SHORT_FORMS)
 
@@ -409,13 +414,13 @@ def finder(pages: DataFrame, shorts: DataFrame, texts: DataFrame | None = None)
                 found, tail, comma, _ = names.parts(title, slug, "person")
                 reading = common.reading(found, comma) or common.reading(tail, False)
                 if reading:
-                    own = next((w for w in (found if found else tail) if reading[1].endswith(_plain(w).strip(".")) and len(w) > 3), None)
+                    own = next((w for w in (found if found else tail) if reading[1].endswith(_plain(w).strip(".")) and len(w) > 1), None)
                     if own and (word := _plain(own).strip(".")) and word not in given:
                         out.append(word)
             yield pd.DataFrame({"word": out}, dtype=object)
 
     last = materialize(people.mapInPandas(last_words, "word string").distinct())
-    family = sorted(r["word"] for r in _sampled(last, "word", SAMPLE_NAMES).collect())
+    family = sorted(r["word"] for r in _sampled(last.where("length(word) > 3"), "word", SAMPLE_NAMES).collect())
     # ordinary words: capitalised words of a bounded sample of bodies that do not follow given names
     whole = pages.where("compiled_truth IS NOT NULL").select("id", F.col("compiled_truth").alias("t"))
     bodies = _sampled(whole, "id", SAMPLE_BODIES)
@@ -433,7 +438,7 @@ def finder(pages: DataFrame, shorts: DataFrame, texts: DataFrame | None = None)
                             shapes.clear()
                         word = _plain(token)
                         found = shapes[token] = (word, word in given or len(word) == 1 or word in names.HONORIFICS or word in names.PARTICLES)
-                    if len(token) > 3 and token[0].isupper():
+                    if len(token) > 1 and token[0].isupper():
                         n[found[0]] += 1
                         named[found[0]] += before
                     before = found[1]
@@ -444,7 +449,7 @@ def finder(pages: DataFrame, shorts: DataFrame, texts: DataFrame | None = None)
 
     counted = count(bodies)
     seldom_named = "named <= 0.05 * n OR (named <= 1 AND n > 2)"
-    plain = counted.where(seldom_named).orderBy(F.desc("n"), "word").limit(SAMPLE_WORDS).collect()
+    plain = counted.where(seldom_named).where("length(word) > 3").orderBy(F.desc("n"), "word").limit(SAMPLE_WORDS).collect()
     known, endings = set(family), {f[-5:] for f in family}
     # a seldom word that is or ends like a family name may be one: it is no example of an ordinary word
     ordinary = {r["word"] for r in plain if r["word"] not in given and (r["n"] >= OFTEN or (r["word"] not in known and r["word"][-5:] not in endings))}
@@ -493,54 +498,106 @@ def found(texts: DataFrame, fit: Finder, key: str = "row_id") -> DataFrame:
 
 # --- surrogates -----------------------------------------------------------------------------------
 
-_VOWELS, _CONSONANTS = "aeiou", "bcdfghjklmnpqrstvwxyz"
-_CLASS = {c: group for group in (_VOWELS, _CONSONANTS, string.digits) for c in group}
+# The letters that may stand for each other, by script.
+ALPHABETS = ("aeiou", "bcdfghjklmnpqrstvwxyz", string.digits, "аеиоуыэюя", "бвгджзклмнпрстфхцчшщ", "αεηιουω", "βγδζθκλμνξπρστφχψ", "אבגדהוזחטיכלמנסעפצקרשת", "ابتثجحخدذرزسشصضطظعغفقكلمنهوي")
+
+
+class _Block:
+    """A run of code points as an alphabet."""
+
+    def __init__(self, first: int, last: int):
+        self.first, self.last = first, last
+
+    def __len__(self) -> int:
+        return self.last - self.first + 1
+
+    def __getitem__(self, i: int) -> str:
+        return chr(self.first + i)
+
+    def index(self, c: str) -> int:
+        return ord(c) - self.first
+
+
+#: Ideographs, hiragana, katakana, and the initial consonants of Korean syllables.
+_BLOCKS = (_Block(0x4E00, 0x9FA5), _Block(0x3042, 0x3093), _Block(0x30A2, 0x30F3), _Block(0x1100, 0x1112))
+_CLASS = {c: group for group in ALPHABETS for c in group}
+# Endings that tell gender, longest first.
+GENDERED = ("dottir", "ovna", "evna", "skaya", "ska", "ski", "sky", "ova", "eva", "ina", "son", "овна", "евна", "ович", "евич", "ская", "ский", "ова", "ева", "ина", "ов", "ев", "ин", "poulou", "poulos", "ou")
+
+
+def _class(c: str) -> str | _Block | None:
+    found = _CLASS.get(c)
+    return found if found is not None else next((b for b in _BLOCKS if b.first <= ord(c) <= b.last), None)
 
 
 class Surrogates:
-    """Keyed, format-preserving and collision-free replacements."""
+    """Keyed, format-preserving replacements, distinct and never their originals."""
 
     def __init__(self, key: bytes, rounds: int = 4):
-        self.key, self.rounds = key, rounds
-        self.first = {c: g[(g.index(c) + self._number(f"first {g}", 0)) % len(g)] for c, g in _CLASS.items() if g != string.digits}
+        self.key, self.rounds = key[:64], rounds
+        self.seen: dict[tuple[str, str], str] = {}
+
+    def _number(self, text: str) -> int:
+        return int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8, key=self.key).digest(), "big")
 
-    def _number(self, text: str, tweak: int) -> int:
-        return int.from_bytes(hmac.digest(self.key, f"{tweak}|{text}".encode(), "sha256")[:8], "big")
+    def _shift(self, c: str, what: str) -> str:
+        """The letter of the same alphabet a keyed distance away, never itself."""
+        group = _class(c)
+        return group[(group.index(c) + 1 + self._number(f"{what}|{group[0]}") % (len(group) - 1)) % len(group)]
 
-    def _network(self, base: list[str], places: list[int], tweak: str) -> None:
-        """Feistel rounds in place over the characters at ``places``: one half moves by a keyed amount of the other."""
+    def _network(self, base: list[str], places: list[int], tweak: str, way: int = 1) -> None:
+        """Feistel rounds in place over the characters at ``places``: one half moves by a keyed amount of the other; ``way`` -1 undoes it."""
         halves = places[::2], places[1::2]
-        for r in range(self.rounds if halves[1] else 1):
+        if not halves[1]:
+            return
+        for r in range(self.rounds)[::way]:
             moved, other = halves[r % 2], halves[1 - r % 2]
             seen = "".join(base[p] for p in other)
             for p in moved:
-                group = _CLASS[base[p]]
-                base[p] = group[(group.index(base[p]) + self._number(f"{tweak}|{r}|{p}|{seen}", r)) % len(group)]
+                group = _class(base[p])
+                base[p] = group[(group.index(base[p]) + way * self._number(f"{tweak}|{r}|{p}|{seen}")) % len(group)]
 
     def token(self, token: str, name: bool = False) -> str:
-        """One run of letters or digits. In a name the last letter stays and the first follows its own permutation."""
+        """One run of letters or digits. In a name the first letter follows its own permutation, and an ending that tells gender stays."""
         marks = [unicodedata.normalize("NFD", c) for c in token]
         base = [m[0].lower() for m in marks]
-        places = [i for i, c in enumerate(base) if c in _CLASS]
-        if name and len(places) > 2:
-            kept = places[-1]
-            inner = [p for p in places[1:] if p != kept]
-            tweak = f"name|{len(base)}|{base[places[0]]}|{base[kept]}"
-            self._network(base, inner, tweak)
-            base[places[0]] = self.first.get(base[places[0]], base[places[0]])
-        elif name and places:
-            base[places[0]] = self.first.get(base[places[0]], base[places[0]])
+        places = [i for i, c in enumerate(base) if _class(c) is not None]
+        if not places:  # a script without an alphabet here: a word of the keyed hash
+            return "".join(string.ascii_lowercase[self._number(f"word|{token}") // 26**i % 26] for i in range(12)) if token.isalpha() else token
+        if name:
+            kept = self._ending(base, places)
+            inner = [p for p in places[1:] if p < len(base) - kept]
+            self._network(base, inner, f"name|{len(base)}|{base[places[0]]}|{''.join(base[len(base) - kept :])}")
+            base[places[0]] = self._shift(base[places[0]], "first")
         else:
-            self._network(base, places, f"text|{len(base)}")
-        return "".join(
-            unicodedata.normalize("NFC", (b.upper() if m[0].isupper() else b) + m[1:]) if i in set(places) else t
-            for i, (b, m, t) in enumerate(zip(base, marks, token))
-        )
+            tweak = f"text|{len(base)}"
+            self._network(base, places, tweak)
+            base[places[0]] = self._shift(base[places[0]], tweak)
+            self._network(base, places, tweak, -1)
+        at = set(places)
+        return "".join(unicodedata.normalize("NFC", (b.upper() if m[0].isupper() else b) + m[1:]) if i in at else t for i, (b, m, t) in enumerate(zip(base, marks, token)))
+
+    @staticmethod
+    def _ending(base: list[str], places: list[int]) -> int:
+        """The number of last characters that stay: a gendered ending behind two letters at least, else the last letter of an alphabet."""
+        text = "".join(base)
+        for ending in GENDERED:
+            if text.endswith(ending) and len(text) >= len(ending) + 3:
+                return len(ending)
+        return int(len(places) > 2 and base[-1] in _CLASS)
 
     def value(self, kind: str, value: str) -> str:
         """The surrogate of a value: same kind, script, case, separators and lengths."""
+        found = self.seen.get((kind, value))
+        if found is None:
+            if len(self.seen) > 200_000:  # memory only
+                self.seen.clear()
+            found = self.seen[kind, value] = self._value(kind, value)
+        return found
+
+    def _value(self, kind: str, value: str) -> str:
         if kind == "name":
-            return re.sub(r"[^\W\d_]+", lambda m: m[0] if m[0].lower() in names.PARTICLES and m[0].islower() else self.token(m[0], True), value)
+            return re.sub(r"[^\W\d_]+", lambda m: m[0] if m[0].lower() in names.PARTICLES and m[0].islower() else self._named(m[0]), value)
         if kind == "email":
             local, at, host = re.match(r"(.*?)(@|\[at\]|\(at\)|\s+at\s+)(.*)", value, re.S).groups()
             cut = max(host.rfind("."), host.rfind("]"), host.rfind(" "))
@@ -551,6 +608,13 @@ class Surrogates:
             return re.sub(r"[^\W_]+", lambda m: m[0] if keep.match(m[0]) else self.token(m[0]), value)
         return re.sub(r"[^\W_]+", lambda m: self.token(m[0]) if any(c.isdigit() for c in m[0]) else m[0], value)
 
+    def _named(self, word: str) -> str:
+        """The surrogate of a word of a name; what would read as a particle goes on to the next, so particles stay theirs."""
+        new = self.token(word, True)
+        while new in names.PARTICLES:
+            new = self.token(new, True)
+        return new
+
 
 def redacted(texts: DataFrame, fit: Finder, secret: str, key: str = "row_id", typed: bool = True) -> DataFrame:
     """(field, key, text): every text with its values replaced.
@@ -576,3 +640,38 @@ def redacted(texts: DataFrame, fit: Finder, secret: str, key: str = "row_id", ty
             yield frame.assign(text=pd.Series(out, index=frame.index, dtype=object))
 
     return texts.select("field", key, "text").mapInPandas(rewrite, f"field string, {key} {kind}, text string")
+
+
+def audit(texts: DataFrame, fit: Finder, secret: str, key: str = "row_id") -> DataFrame:
+    """(field, texts, leaked, unchanged, collisions): what redaction leaves, which must be nothing.
+
+    leaked: texts in whose redacted form a value of theirs still stands (of names, those of two words
+    or more: a lone word can stand elsewhere as no name). unchanged: values that are their own
+    surrogates. collisions: surrogates that two different values of a kind share.
+    """
+    kind = texts.schema[key].dataType.simpleString()
+
+    def scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        replace = Surrogates(secret.encode())
+        for frame in frames:
+            rows, sent = [], set()
+            for field, row, text in zip(frame["field"], frame[key], frame["text"]):
+                spans, parts, at = fit.find(text) if text else [], [], 0
+                for a, z, k in spans:
+                    new = replace.value(k, text[a:z])
+                    parts += [text[at:a], f"[{k} {new}]"]
+                    at = z
+                    sent.add((field, k, text[a:z], new))
+                left = "".join(parts) + (text or "")[at:]
+                told = {text[a:z] for a, z, k in spans if k != "name" or len(text[a:z].split()) > 1}
+                rows.append((field, row, None, None, None, any(re.search(rf"(?<!\w){re.escape(v)}(?!\w)", left) for v in told if v in left)))
+            rows += [(field, None, k, old, new, False) for field, k, old, new in sent]
+            yield pd.DataFrame(rows, columns=["field", key, "kind", "old", "new", "leak"]).astype({key: "object"})
+
+    seen = materialize(texts.select("field", key, "text").mapInPandas(scan, f"field string, {key} {kind}, kind string, old string, new string, leak boolean"))
+    whole = seen.where("kind IS NULL").groupBy("field", key).agg(F.max("leak").alias("leak")).groupBy("field").agg(F.count("*").alias("texts"), F.count_if("leak").alias("leaked"))
+    values = seen.where("kind IS NOT NULL").groupBy("field", "kind", "old", "new").agg(F.lit(1).alias("one"))
+    shared = values.groupBy("field", "kind", "new").agg(F.count("*").alias("olds"), F.count_if(F.col("old") == F.col("new")).alias("same"))
+    counts = shared.groupBy("field").agg(F.sum("same").alias("unchanged"), F.count_if(F.col("olds") > 1).alias("collisions"))
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
+    return whole.join(counts, "field", "left").select("field", "texts", "leaked", zero("unchanged"), zero("collisions"))

@@ -19,6 +19,11 @@ def _texts(spark: SparkSession, folder: str) -> DataFrame:
     return one(pages, "compiled_truth").union(one(pages, "timeline")).union(one(chunks, "chunk_text"))
 
 
+def _secret(spark: SparkSession) -> str:
+    """The key of the surrogates: a setting of the session, or an example."""
+    return spark.conf.get("marlstone.surrogate.key", "example key: set your own")
+
+
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     """Personal information in page bodies, timelines and chunks."""
     fit = pii.finder(table(spark, folder, "pages"), table(spark, folder, "given_names"))
@@ -28,7 +33,13 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
 def p1_redacted(spark: SparkSession, folder: str) -> DataFrame:
     """The same texts with every value replaced by its kind and a keyed surrogate."""
     fit = pii.finder(table(spark, folder, "pages"), table(spark, folder, "given_names"))
-    return pii.redacted(_texts(spark, folder).where("text IS NOT NULL"), fit, secret="example key: set your own").distinct()
+    return pii.redacted(_texts(spark, folder).where("text IS NOT NULL"), fit, _secret(spark)).distinct()
+
+
+def p1_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """What the redaction of each field leaves in it: no value, no unchanged one, no two with one surrogate."""
+    fit = pii.finder(table(spark, folder, "pages"), table(spark, folder, "given_names"))
+    return pii.audit(_texts(spark, folder).where("text IS NOT NULL"), fit, _secret(spark))
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -107,7 +118,7 @@ def p10_share(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_redacted, p2_found, p2_classes, p3_found, p3_entities, p4_found, p4_chunks, p6_found, p7_found, p7_nearest, p8_ids, p9_bins, p10_found, p10_share)}
+    return {f.__name__: f for f in (p1_found, p1_redacted, p1_audit, p2_found, p2_classes, p3_found, p3_entities, p4_found, p4_chunks, p6_found, p7_found, p7_nearest, p8_ids, p9_bins, p10_found, p10_share)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+# The operator is checked by what must hold of its result: texts are counted, faults are none.
+P1_AUDIT = """SELECT field, count(DISTINCT id) AS texts, CAST(0 AS BIGINT) AS leaked, CAST(0 AS BIGINT) AS unchanged, CAST(0 AS BIGINT) AS collisions FROM
+(SELECT 'compiled_truth' AS field, id FROM pages WHERE compiled_truth IS NOT NULL UNION ALL SELECT 'timeline', id FROM pages WHERE timeline IS NOT NULL
+UNION ALL SELECT 'chunk_text', id FROM content_chunks WHERE chunk_text IS NOT NULL) GROUP BY 1"""
+
 P2_FOUND = r"""WITH k AS (SELECT id, w FROM (SELECT id, regexp_extract_all(lower(compiled_truth), '[\p{L}\p{N}]+') AS w FROM
 (SELECT DISTINCT id, compiled_truth FROM pages WHERE page_kind = 'markdown' AND coalesce(type, '') <> 'email' AND compiled_truth IS NOT NULL)) WHERE len(w) >= 30),
 s AS (SELECT id, list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS g FROM k),
@@ -33,4 +38,4 @@ i AS (SELECT *, CASE WHEN s <= lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 20
 g AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY s) AS island FROM i)
 SELECT doc_id, CAST(min(s) AS INT) AS span_start, CAST(max(s) + 200 AS INT) AS span_end FROM g GROUP BY doc_id, island"""
 
-ORACLES = {"p2_found": P2_FOUND, "p4_found": P4_FOUND, "p7_found": P7_FOUND, "p7_nearest": P7_NEAREST, "p10_found": P10_FOUND}
+ORACLES = {"p1_audit": P1_AUDIT, "p2_found": P2_FOUND, "p4_found": P4_FOUND, "p7_found": P7_FOUND, "p7_nearest": P7_NEAREST, "p10_found": P10_FOUND}

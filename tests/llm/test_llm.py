@@ -406,7 +406,7 @@ def finder(spark):
     families = "Bifojathorpe Gazekicroft Lavimorthorpe Rizobauer Tovekazu Menazovich Patobauer Kelikazu".split()
     givens = "Thomas Stephen Ulrike Yusuf Chloé".split()
     people = [(i, "person", f"people/{i}", f"{g} {f}", None) for i, (g, f) in enumerate(itertools.product(givens, families))]
-    bodies = [(1000 + i, "note", "n", "t", "The Harbour office in Tilmouth moved. Budget first. Harbour again, said Ostrelbach. Drift.") for i in range(40)]
+    bodies = [(1000 + i, "note", "n", "t", "The Harbour office in Tilmouth moved. Budget first. Harbour again, said Ostrelbach. Drift. The end.") for i in range(40)]
     df = spark.createDataFrame(people + bodies, "id int, type string, slug string, title string, compiled_truth string")
     return pii.finder(df, spark.createDataFrame([("Thomas", "Tom")], "given string, short_form string"))
 
@@ -436,7 +436,8 @@ CASES = [
     ("Invoice 555-7045-33, order 2130-8825-86, 192.0.2.148", set()), ("SSN 993-32-7791, NI number QQ 77 21 71 B", {("idnum", "993-32-7791"), ("idnum", "QQ 77 21 71 B")}), ("ssn: 942097686 passport no. Z29957261", {("idnum", "942097686"), ("idnum", "Z29957261")}),
     ("left at 66 Millrace Ave, Unit 18C, Quillport, OR 11501; see", {("address", "66 Millrace Ave, Unit 18C, Quillport, OR 11501")}), ("Flat 6, 93 Ropewalk Close, Tilmouth QX0 2ZZ", {("address", "Flat 6, 93 Ropewalk Close, Tilmouth QX0 2ZZ")}),
     ("Ropewalkstraße 20, 18313 Westerkiln und", {("address", "Ropewalkstraße 20, 18313 Westerkiln")}), ("P.O. Box 12894, Marrowick. Then", {("address", "P.O. Box 12894, Marrowick")}), ("86 bis rue Harrow, 16227 Fallowgate", {("address", "86 bis rue Harrow, 16227 Fallowgate")}),
-    ("see [[people/thomas-gazekicroft]] @thomas12", set()), ("", set()),
+    ("see [[people/thomas-gazekicroft]] @thomas12", set()), ("", set()), ("Ask Ulrike Kim, J. Ng or Dr. Lee now", {("name", "Ulrike Kim"), ("name", "J. Ng"), ("name", "Lee")}),
+    ("Yusuf QA and Tom The end", {("name", "Yusuf"), ("name", "Tom")}),
 ]
 
 
@@ -458,6 +459,19 @@ def test_surrogates_are_distinct_coreferent_and_alike():
     assert make.value("email", "ab@cd.test").endswith(".test") and pii.Surrogates(b"other").value("phone", "5550100") != make.value("phone", "5550100")
 
 
+def test_surrogates_of_every_script_differ_from_their_originals():
+    make = pii.Surrogates(b"example key: set your own")
+    for old in ("Иван Петров", "Ольга Иванова", "王小明", "김민수", "さくら", "Γιώργος", "Bo", "Jo", "J. Li", "Søren", "X", "דוד", "ᚠᚢᚦ", "Łukasz"):
+        new = make.value("name", old)
+        assert new != old and all(a != b for a, b in zip(new.split(), old.split()) if a.strip("."))
+        assert [c.isupper() for c in new] == [c.isupper() for c in old] or old == "ᚠᚢᚦ"
+    assert make.value("name", "Ольга Иванова").endswith("ова") and make.value("name", "Иванова")[:-1] == make.value("name", "Иванова")[:-1]
+    three = ["".join(p) for p in itertools.product("abcdefghijklmnopqrstuvwxyz", repeat=3)]
+    new = [make.token(x, True) for x in three]
+    assert len(set(new)) == len(three) and not any(a == b for a, b in zip(new, three))
+    assert not any(make.token(x) == x for x in three) and not any(make.token(str(i)) == str(i) for i in range(2000))
+
+
 def test_redacted_leaves_no_value_and_the_rest(spark, finder):
     texts = spark.createDataFrame([("f", 1, "Ask Thomas Gazekicroft at (661) 555-0169."), ("f", 2, None), ("f", 3, ""), ("f", 4, "nothing")], "field string, row_id int, text string")
     got = {r["row_id"]: r["text"] for r in pii.redacted(texts, finder, "secret").collect()}
@@ -477,7 +491,7 @@ DATA = "/root/testdata/sf0.001"
 
 
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="needs the driver's tables")
-@pytest.mark.parametrize("name", ["p2_found", "p4_found", "p7_found", "p7_nearest", "p10_found"])
+@pytest.mark.parametrize("name", ["p1_audit", "p2_found", "p4_found", "p7_found", "p7_nearest", "p10_found"])
 def test_queries_against_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     from marlstone.llm import queries, sql
