@@ -5,11 +5,11 @@ word) and a common part (given name; field of work). The common parts are found
 titles: words that stand in many names. Short forms come from a table, from nicknames quoted in
 titles, and for fields from abbreviation (a subsequence with the same first letter).
 
-Readings are MinHash-banded over padded q-grams of the distinguishing part under their common part.
-The bands' shape comes from the collision curve: the first one that finds ``RECALL`` of the pairs at
+Readings are MinHash-banded over padded q-grams of the distinguishing part under the initial of their
+common part; short distinguishing parts meet on their one-letter deletions. The bands' shape comes from the collision curve: the first one that finds ``RECALL`` of the pairs at
 the similarity two typing errors leave. Pairs of a bucket are verified by Monge-Elkan similarity over
-edit similarities, and star clustering makes entities: the most attested reading of a component is a
-centre and takes its verified neighbours; readings that fit several centres stay apart.
+edit similarities, and star clustering makes entities: the most attested readings are centres and take
+their verified neighbours; readings that fit several centres stay apart.
 
 Defined results
 - Null and empty titles fall back on the slug; rows with neither, or a lone common part, have no partner.
@@ -30,7 +30,6 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.components import components
 from ..session import materialize
 
 # Words that are part of no name.
@@ -329,23 +328,42 @@ def _readings(rows: DataFrame, kind: str, common: Common, key_type: str) -> Data
     return rows.mapInPandas(read, f"id {key_type}, node string, other string")
 
 
+def _meanings(common: str) -> set[str]:
+    """What two common parts that fit share: their number of words, and an initial of the first."""
+    words = common.split(" ")
+    return {f"{len(words)}{meaning[:1]}" for meaning in words[0].split("/")}
+
+
+def _buckets(node: str) -> list[str]:
+    """The bucket keys of a reading: its own part, its one-letter deletions if it is short, MinHash bands if it is not.
+
+    All stand under an initial of the common part, which all readings that can fit share.
+    """
+    kind, common, own = node.split("|")
+    keys = [f"={own}"]
+    if 3 <= len(own) <= 6:  # one edit apart: with one letter less, both are the same
+        keys += [f"-{x}" for x in {own} | {own[:i] + own[i + 1 :] for i in range(len(own))}]
+    if len(own) >= 5:
+        keys += [str(x) for x in _bands(own)]
+    return [f"{kind}|{m}|{k}" for m in _meanings(common) for k in keys]
+
+
 def _links(nodes: DataFrame) -> DataFrame:
     """(a, b): verified pairs of readings."""
 
     def band(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
-            for node, weight in zip(frame["node"], frame["weight"]):
-                kind, common, own = node.split("|")
-                out.append((node, weight, f"{kind}|{own}"))  # whatever the common part
-                if not vague(common.replace(" ", "")) and len(own) >= 5:
-                    out += [(node, weight, f"{kind}|{common}|{b}") for b in _bands(own)]
-            yield pd.DataFrame(out, columns=["node", "weight", "bucket"])
-
-    banded = nodes.mapInPandas(band, "node string, weight bigint, bucket string")
-    one, two = banded.toDF("a", "wa", "bucket"), banded.toDF("b", "wb", "bucket")
+            for node in frame["node"]:
+                out += [(node, bucket) for bucket in _buckets(node)]
+            yield pd.DataFrame(out, columns=["node", "bucket"])
+
+    # the readings come as one small file, but each makes dozens of rows
+    tasks = max(1, nodes.sparkSession.sparkContext.defaultParallelism)
+    banded = nodes.select("node").repartition(tasks).mapInPandas(band, "node string, bucket string")
+    one, two = banded.toDF("a", "bucket"), banded.toDF("b", "bucket")
     # the planner knows nothing of the bands' number: a merge join keeps it from broadcasting them
-    pairs = one.join(two.hint("merge"), "bucket").where("a < b").select("a", "b", "wa", "wb").distinct()
+    pairs = one.join(two.hint("merge"), "bucket").where("a < b").select("a", "b").distinct()
 
     def verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -355,31 +373,49 @@ def _links(nodes: DataFrame) -> DataFrame:
                 _, c2, o2 = b.split("|")
                 good = fits(c1, c2)
                 if good and o1 != o2:
-                    good = edits(o1, o2, EDITS) <= (EDITS if min(len(o1), len(o2)) >= 6 else 1)
-                    good = good and monge_elkan([*c1.split(), o1], [*c2.split(), o2]) >= SIMILAR
+                    most = EDITS if min(len(o1), len(o2)) >= 6 else int(max(len(o1), len(o2)) >= 4)
+                    good = edits(o1, o2, EDITS) <= most
+                    # what an initial or a short form stands for was compared by its meaning
+                    told = not vague(c1) and not vague(c2)
+                    good = good and monge_elkan([*(c1.split() if told else []), o1], [*(c2.split() if told else []), o2]) >= SIMILAR
                 keep.append(good)
             yield frame.loc[keep, ["a", "b"]]
 
     return pairs.mapInPandas(verify, "a string, b string")
 
 
-def _stars(frame: pd.DataFrame) -> pd.DataFrame:
-    """Star clustering of one component: rows (component, node, weight, near)."""
-    weight = dict(zip(frame["node"], frame["weight"]))
-    near = {n: set(x) if x is not None else set() for n, x in zip(frame["node"], frame["near"])}
-    common = {n: n.split("|")[1] for n in near}
-    order = sorted(near, key=lambda n: (vague(common[n]), -weight[n], n))
-    centre: dict[str, str] = {}
-    for n in order:
-        if vague(common[n]):
-            met = {centre[x] for x in near[n] if x in centre}
-            exact = {m for m in met if m.split("|")[2] == n.split("|")[2]}
-            met = exact or met
-            centre[n] = met.pop() if len(met) == 1 else n
-        else:
-            met = sorted((x for x in near[n] if centre.get(x) == x and not vague(common[x])), key=lambda x: (-weight[x], x))
-            centre[n] = met[0] if met else n
-    return pd.DataFrame({"node": list(centre), "centre": list(centre.values())})
+def _stars(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, centre): star clustering of the linked readings (node, weight) over links (a, b).
+
+    Readings are taken in order: those with one common part first, then the most attested. A reading
+    becomes a centre unless a neighbour before it is one; of several it takes the first. A reading whose
+    common part fits several people takes the centre of its neighbours before it if that is only one,
+    counting centres of its own distinguishing part alone if there are any, else neighbours of it. All readings whose
+    neighbours before them are decided are decided in one round, so no component is gathered.
+    """
+    common, own = (F.split_part("node", F.lit("|"), F.lit(i)) for i in (2, 3))
+    unclear = (common == "") | common.contains("/") | common.contains(".")
+    placed = nodes.select("node", own.alias("own"), F.struct(unclear.alias("unclear"), (-F.col("weight")).alias("minus"), F.col("node").alias("id")).alias("place"))
+    both = links.select("a", "b").union(links.select("b", "a"))
+    ends = both.join(placed.toDF("a", "own", "place").hint("merge"), "a").join(placed.select(F.col("node").alias("b"), F.col("place").alias("before")).hint("merge"), "b")
+    up = materialize(ends.where("before < place").select(F.col("a").alias("node"), "own", "place", F.col("b").alias("other"), "before"))
+    linked = both.select(F.col("a").alias("node")).distinct()
+    done = new = materialize(linked.join(up, "node", "left_anti").select("node", F.col("node").alias("centre")))
+    while new.limit(1).count():
+        state = done.select(F.col("node").alias("other"), "centre")
+        waiting = up.join(done.select("node"), "node", "left_anti").join(state.hint("merge"), "other", "left")
+        own_of = lambda c: F.split_part(c, F.lit("|"), F.lit(3))
+        ends = lambda name, which: (F.min(which).alias(f"{name}_low"), F.max(which).alias(f"{name}_high"))
+        told = waiting.groupBy("node").agg(
+            F.first("place.unclear").alias("unclear"), F.count_if(F.col("centre").isNull()).alias("open"),
+            F.min(F.when((F.col("centre") == F.col("other")) & ~F.col("before.unclear"), F.col("before"))).alias("star"),
+            *ends("of_own", F.when(own_of("centre") == F.col("own"), F.col("centre"))), *ends("by_own", F.when(own_of("other") == F.col("own"), F.col("centre"))), *ends("any", F.col("centre")),
+        ).where("open = 0")
+        low, high = F.coalesce("of_own_low", "by_own_low", "any_low"), F.coalesce("of_own_high", "by_own_high", "any_high")
+        centre = F.when(F.col("unclear"), F.when(low == high, low)).otherwise(F.col("star.id"))
+        new = materialize(told.select("node", F.coalesce(centre, F.col("node")).alias("centre")))
+        done = done.union(new)
+    return done
 
 
 def entities(
@@ -399,10 +435,7 @@ def entities(
     )
     own = read.where("other IS NOT NULL").select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
     links = materialize(_links(nodes).union(own.mapInPandas(_agreeing, "a string, b string")).distinct())
-    near = links.union(links.select("b", "a")).groupBy("a").agg(F.collect_list("b").alias("near")).withColumnRenamed("a", "node")
-    held = components(links).join(nodes, "node").join(near, "node", "left")
-    stars = held.groupBy("component").applyInPandas(_stars, "node string, centre string")
-    return read.join(stars, "node", "left").select("id", F.coalesce("centre", "node").alias("entity"))
+    return read.join(_stars(nodes, links), "node", "left").select("id", F.coalesce("centre", "node").alias("entity"))
 
 
 def _agreeing(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -115,6 +115,36 @@ def test_entities(spark):
     assert names.same_pairs(df.limit(0), short).count() == 0
 
 
+def test_short_and_abbreviated_variants_meet(spark):
+    titles = ["Thomas Wang", "Thomas Wnag", "Thomas Hall", "Thomas Hal", "T. Gazekicrfot", "Thomas Gazekicroft", "Stephen Kim", "Stephen Kam", "Ulrike Lee", "Thomas Acme", "Ulrike Acme"]
+    df = spark.createDataFrame([(i, "person", None, t) for i, t in enumerate(titles)] + [(50 + i, "person", None, f"{g} {f}") for i, (g, f) in enumerate(itertools.product(("Thomas", "Stephen", "Ulrike"), ("Rizobauer", "Menazovich")))], "id int, type string, slug string, title string")
+    short = spark.createDataFrame([("Thomas", "Tom"), ("Stephen", "Steve"), ("Ulrike", "Uli")], "given string, short_form string")
+    assert set(map(tuple, names.same_pairs(df, short).where("a < 50").collect())) == {(0, 1), (2, 3), (4, 5)}
+
+
+def stars_in_order(nodes, links):
+    near = {n: {b for a, b in links if a == n} | {a for a, b in links if b == n} for n in nodes}
+    centre = {}
+    for n in sorted((n for n in nodes if near[n]), key=lambda n: (names.vague(n.split("|")[1]), -nodes[n], n)):
+        if names.vague(n.split("|")[1]):
+            met, own = {x: centre[x] for x in near[n] if x in centre}, lambda x: x.split("|")[2] == n.split("|")[2]
+            met = {c for c in met.values() if own(c)} or {c for x, c in met.items() if own(x)} or set(met.values())
+            centre[n] = met.pop() if len(met) == 1 else n
+        else:
+            met = sorted((x for x in near[n] if centre.get(x) == x), key=lambda x: (-nodes[x], x))
+            centre[n] = met[0] if met else n
+    return centre
+
+
+def test_stars_in_rounds_equal_stars_in_order(spark):
+    draw = random.Random(31)
+    nodes = {f"person|{draw.choice(['anna', 'tom', 'a.', 't.', 'ann/anna'])}|{draw.choice('pqrs')}{i // 3}": draw.randrange(1, 5) for i in range(90)}
+    every = sorted(nodes)
+    links = sorted({tuple(sorted(draw.sample(every, 2))) for _ in range(160)})
+    got = names._stars(spark.createDataFrame(list(nodes.items()), "node string, weight bigint"), spark.createDataFrame(links, "a string, b string"))
+    assert dict(map(tuple, got.collect())) == stars_in_order(nodes, links)
+
+
 # --- chunks (p4) ---
 
 
