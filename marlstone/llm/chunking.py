@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .tokens import encoder, vocabulary_path
 
 LIMIT, OVERLAP = 1600, (80, 240)
@@ -157,14 +158,13 @@ def breaks(page: str, pieces: list[tuple[int, str]], limit: int = LIMIT, overlap
     by_index: dict[int, list[str]] = {}
     for index, piece in pieces:
         by_index.setdefault(index, []).append(piece)
-    cuts = StrongestCut(strength, 1)
     least, most = overlap
-    out = []
-    for index, piece in pieces:
+    out, near = [], 0
+    for index, piece in sorted(pieces):
         wrong = len(piece) > limit
         if not wrong and piece:
-            places = _places(page, piece)
-            wrong = not any(cuts.query(s, s)[1] and cuts.query(e, e)[1] for s, e in places)
+            found = next((s for s, e in _places(page, piece, near) if strength[s] and strength[e]), None)
+            wrong, near = found is None, near if found is None else found
         if not wrong and index > 0:
             wrong = not any(_laps(before, piece, least, most) for before in by_index.get(index - 1, ()))
         if wrong:
@@ -172,11 +172,13 @@ def breaks(page: str, pieces: list[tuple[int, str]], limit: int = LIMIT, overlap
     return out
 
 
-def _places(page: str, piece: str) -> Iterator[tuple[int, int]]:
-    at = page.find(piece)
-    while at >= 0:
-        yield at, at + len(piece)
-        at = page.find(piece, at + 1)
+def _places(page: str, piece: str, near: int) -> Iterator[tuple[int, int]]:
+    """Where the piece stands in the page: the places from ``near`` on (the piece before began there), then the others."""
+    for first, last in ((near, len(page)), (0, near + len(piece) - 1)):
+        at = page.find(piece, first, last)
+        while at >= 0:
+            yield at, at + len(piece)
+            at = page.find(piece, at + 1, last)
 
 
 def _laps(before: str, piece: str, least: int, most: int) -> bool:
@@ -193,7 +195,7 @@ def _laps(before: str, piece: str, least: int, most: int) -> bool:
 
 
 def broken_chunks(
-    pages: DataFrame, stored: DataFrame, source: str = "compiled_truth", limit: int = LIMIT, overlap: tuple[int, int] = OVERLAP, block: int = 64
+    pages: DataFrame, stored: DataFrame, source: str = "compiled_truth", limit: int = LIMIT, overlap: tuple[int, int] = OVERLAP, block: int = 2048
 ) -> DataFrame:
     """(page_id, chunk_index) of the stored chunks of ``source`` that ``split`` would not have made.
 
@@ -210,6 +212,7 @@ def broken_chunks(
         F.struct("chunk_index", "piece").alias("one"),
     ).groupBy("page_id", "part").agg(F.collect_list("one").alias("pieces"))
     bodies = pages.select(F.col("id").alias("page_id"), F.col(source).alias("body")).distinct()
+    kind = stored.schema["page_id"].dataType.simpleString()
     joined = blocks.join(bodies, "page_id", "left").select("page_id", "part", "body", "pieces")
 
     def audit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -220,6 +223,21 @@ def broken_chunks(
                 found = [i for i in found if i // block == part]
                 ids += [page_id] * len(found)
                 indexes += found
-            yield pd.DataFrame({"page_id": pd.Series(ids, dtype="int32"), "chunk_index": pd.Series(indexes, dtype="int32")})
+            yield pd.DataFrame({"page_id": ids, "chunk_index": indexes})
+
+    return joined.mapInPandas(audit, f"page_id {kind}, chunk_index int").distinct()
+
 
-    return joined.mapInPandas(audit, "page_id int, chunk_index int").distinct()
+def audit(df: DataFrame, made: DataFrame, key: str = "id", text: str = "compiled_truth") -> DataFrame:
+    """(texts, chars, broken, miscounted), one row: what must hold of the pieces of ``chunks``.
+
+    texts and chars: texts with pieces, and the characters these cover from the first one's start to
+    the last one's end; broken: pieces against the contract; miscounted: another number of pieces than
+    the last index tells.
+    """
+    made = materialize(made)
+    stored = made.select(F.col(key).alias("page_id"), "chunk_index", F.col("chunk_text"), F.lit(text).alias("chunk_source"))
+    wrong = broken_chunks(df.withColumnRenamed(key, "id"), stored, text).agg(F.count("*").alias("broken"))
+    each = made.groupBy(key).agg((F.max("end") - F.min("start")).alias("chars"), F.count("*").alias("n"), F.max("chunk_index").alias("last"))
+    whole = each.agg(F.count("*").alias("texts"), F.coalesce(F.sum("chars"), F.lit(0)).cast("bigint").alias("chars"), F.count_if(F.col("n") != F.col("last") + 1).alias("miscounted"))
+    return whole.crossJoin(wrong).select("texts", "chars", "broken", "miscounted")  # one row each

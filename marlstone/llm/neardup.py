@@ -136,7 +136,9 @@ def _bucket_edges(sets: DataFrame, bands: int, rows: int, kind: str, threshold:
     """(a, b): star edges of all buckets, from each member to the bucket's smallest member.
 
     An edge stays if one bit of each signature bin agrees about as often as for texts at the
-    threshold (5 standard errors less), so chance collisions do not chain families together.
+    threshold (5 standard errors less), so chance collisions do not chain families together. The
+    members that a centre rejects get a centre of their own; those that it rejects, too, take the next
+    one untested, so that every member of a bucket has an edge.
     """
     bins = bands * rows
     used = min(63, bins)
@@ -160,10 +162,17 @@ def _bucket_edges(sets: DataFrame, bands: int, rows: int, kind: str, threshold:
             )
 
     members = sets.select("k", "sig").mapInArrow(keys, f"k {kind}, bucket bigint, bits bigint")
-    centres = members.groupBy("bucket").agg(F.min(F.struct("k", "bits")).alias("c"), F.max("k").alias("high")).where("c.k <> high")
-    # the planner knows nothing of the bands' number: a merge join keeps it from broadcasting them
-    both = members.join(centres.hint("merge"), "bucket").where((F.col("k") != F.col("c.k")) & (F.bit_count(F.col("bits").bitwiseXOR(F.col("c.bits"))) <= most))
-    return both.select(F.col("c.k").alias("a"), F.col("k").alias("b")).distinct()
+    out = None
+    for last in (False, False, True):
+        centres = members.groupBy("bucket").agg(F.min(F.struct("k", "bits")).alias("c"), F.max("k").alias("high")).where("c.k <> high")
+        # the planner knows nothing of the bands' number: a merge join keeps it from broadcasting them
+        alike = F.lit(True) if last else F.bit_count(F.col("bits").bitwiseXOR(F.col("c.bits"))) <= most
+        met = members.join(centres.hint("merge"), "bucket").where(F.col("k") != F.col("c.k")).select("k", "bucket", "bits", F.col("c.k").alias("centre"), alike.alias("alike"))
+        met = materialize(met) if not last else met
+        edges = met.where("alike").select(F.col("centre").alias("a"), F.col("k").alias("b"))
+        out = edges if out is None else out.union(edges)
+        members = met.where("NOT alike").select("k", "bucket", "bits")
+    return out.distinct()
 
 
 def similar(

@@ -20,6 +20,8 @@ Defined results
 
 from __future__ import annotations
 
+import json
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -32,6 +34,8 @@ from .tokens import token_counts
 
 #: Items of one task, on average.
 SHARE = 20_000
+#: Most capacities; each has a row of its own for every item.
+LIMITS = 1_000
 
 
 class Bins:
@@ -116,12 +120,16 @@ def filled(
     several = grouped.groupBy("class").agg(F.count("*").alias("n")).where("n > 1").select("class")
     clusters = grouped.join(several, "class").select("k", F.col("class").alias("cluster"))
     share = max(1, -(-sizes.count() // SHARE))
-    wanted = limits.select("limit_id", "capacity_tokens").where("capacity_tokens > 0").distinct()
+    wanted = limits.select("limit_id", "capacity_tokens").where("capacity_tokens > 0").distinct().limit(LIMITS + 1).collect()
+    if len(wanted) > LIMITS:
+        raise ValueError(f"more than {LIMITS} capacities")
+    limit_type = limits.schema["limit_id"].dataType.simpleString()
+    each = F.from_json(F.lit(json.dumps([r.asDict() for r in wanted])), f"array<struct<limit_id:{limit_type},capacity_tokens:bigint>>")
     items = (
         sizes.join(clusters, "k", "left")
         .select("k", "tokens", F.pmod(F.xxhash64(F.coalesce("s", F.lit(""))), F.lit(1 << 40)).alias("source"), "cluster")
         .withColumn("part", F.pmod(F.xxhash64("k"), F.lit(share)))
-        .crossJoin(F.broadcast(wanted))  # a table of a few rows
+        .withColumn("limit", F.explode(each)).select("*", "limit.*").drop("limit")
     )
 
     def fill(frame: pd.DataFrame) -> pd.DataFrame:
@@ -135,5 +143,26 @@ def filled(
             }
         )
 
-    schema = f"limit_id int, bin_id bigint, k {kind}, piece int, tokens bigint"
+    schema = f"limit_id {limit_type}, bin_id bigint, k {kind}, piece int, tokens bigint"
     return items.groupBy("limit_id", "part").applyInPandas(fill, schema).withColumnRenamed("k", key)
+
+
+def audit(bins: DataFrame, df: DataFrame, limits: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(limit_id, items, overfull, torn, together): what must hold of filled bins.
+
+    overfull: bins above the capacity; torn: items in several pieces that would fit whole; together:
+    pairs of near-duplicates, copies included, in one bin.
+    """
+    bins = materialize(bins)
+    capacity = limits.select("limit_id", "capacity_tokens").distinct()
+    full = bins.groupBy("limit_id", "bin_id").agg(F.sum("tokens").alias("tokens")).join(capacity, "limit_id")
+    full = full.groupBy("limit_id").agg(F.count_if(F.col("tokens") > F.col("capacity_tokens")).alias("overfull"))
+    items = bins.groupBy("limit_id", key).agg(F.sum("tokens").alias("tokens"), F.count("*").alias("pieces")).join(capacity, "limit_id")
+    items = items.groupBy("limit_id").agg(F.count("*").alias("items"), F.count_if((F.col("pieces") > 1) & (F.col("tokens") <= F.col("capacity_tokens"))).alias("torn"))
+    members, pairs = neardup.similar(df, key, text)
+    members = materialize(members)
+    links = components(materialize(pairs)).toDF("rep", "class")
+    classes = members.join(links, "rep", "left").select(F.col("k").alias(key), F.coalesce("class", "rep").alias("class"))
+    shared = bins.select("limit_id", "bin_id", key).distinct().join(classes, key).groupBy("limit_id", "bin_id", "class").agg(F.count("*").alias("n"))
+    shared = shared.groupBy("limit_id").agg(F.sum(F.expr("n * (n - 1) div 2")).alias("together"))
+    return items.join(full, "limit_id").join(shared, "limit_id", "left").select("limit_id", "items", "overfull", "torn", F.coalesce("together", F.lit(0)).cast("bigint").alias("together"))

@@ -76,6 +76,12 @@ def p4_chunks(spark: SparkSession, folder: str) -> DataFrame:
     return chunking.chunks(table(spark, folder, "pages").withColumnRenamed("id", "page_id"), "page_id")
 
 
+def p4_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether the pieces of p4_chunks keep the contract of the splitter and cover every body."""
+    pages = table(spark, folder, "pages").select("id", "compiled_truth")
+    return chunking.audit(pages, chunking.chunks(pages))
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     """Lines of each mail newly written by its sender."""
     return emails.new_lines(table(spark, folder, "pages").where("type = 'email'")).select(F.col("id").alias("page_id"), "line_no")
@@ -107,6 +113,12 @@ def p9_bins(spark: SparkSession, folder: str) -> DataFrame:
     return packing.filled(table(spark, folder, "documents"), table(spark, folder, "pack_limits"))
 
 
+def p9_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether the containers of p9_bins hold every document, none above its capacity, none cut in vain and no near-duplicates together."""
+    documents, limits = table(spark, folder, "documents"), table(spark, folder, "pack_limits")
+    return packing.audit(packing.filled(documents, limits), documents, limits)
+
+
 def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     """Maximal stretches of each document that stand in another, in windows of 200 characters."""
     return spans.shared_spans(table(spark, folder, "documents"))
@@ -118,7 +130,7 @@ def p10_share(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_redacted, p1_audit, p2_found, p2_classes, p3_found, p3_entities, p4_found, p4_chunks, p6_found, p7_found, p7_nearest, p8_ids, p9_bins, p10_found, p10_share)}
+    return {f.__name__: f for f in (p1_found, p1_redacted, p1_audit, p2_found, p2_classes, p3_found, p3_entities, p4_found, p4_chunks, p4_audit, p6_found, p7_found, p7_nearest, p8_ids, p9_bins, p9_audit, p10_found, p10_share)}
 
 
 def oracle_sql() -> dict[str, str]:

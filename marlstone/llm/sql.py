@@ -13,6 +13,23 @@ s AS (SELECT id, list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[
 u AS (SELECT id, len(g) AS n, unnest(g) AS x FROM s)
 SELECT a.id AS page_id_a, b.id AS page_id_b FROM u a JOIN u b ON a.x = b.x AND a.id < b.id GROUP BY a.id, b.id, a.n, b.n HAVING count(*) >= 0.7 * (a.n + b.n - count(*))"""
 
+P2_CLASSES = r"""WITH RECURSIVE k AS (SELECT id, w FROM (SELECT id, regexp_extract_all(lower(compiled_truth), '[\p{L}\p{N}]+') AS w FROM
+(SELECT DISTINCT id, compiled_truth FROM pages WHERE page_kind = 'markdown' AND compiled_truth IS NOT NULL)) WHERE len(w) >= 5),
+s AS (SELECT id, list_sort(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))) AS g FROM k),
+m AS (SELECT id, min(id) OVER (PARTITION BY g) AS rep, g FROM s),
+u AS (SELECT id, len(g) AS n, unnest(g) AS x FROM m WHERE id = rep),
+e AS (SELECT a.id AS a, b.id AS b FROM u a JOIN u b ON a.x = b.x AND a.id <> b.id GROUP BY a.id, b.id, a.n, b.n HAVING count(*) >= 0.8 * (a.n + b.n - count(*))),
+walk AS (SELECT id AS node, id AS seen FROM m WHERE id = rep UNION SELECT w.node, e.b FROM walk w JOIN e ON e.a = w.seen),
+c AS (SELECT node, min(seen) AS class FROM walk GROUP BY 1), l AS (SELECT a, count(*) AS links FROM e GROUP BY 1)
+SELECT m.id AS page_id, c.class, CAST(coalesce(l.links, 0) AS BIGINT) AS links FROM m JOIN c ON c.node = m.rep LEFT JOIN l ON l.a = m.rep"""
+
+# The splitter is checked by what must hold of its pieces.
+P4_AUDIT = """SELECT count(*) AS texts, CAST(sum(length(compiled_truth)) AS BIGINT) AS chars, CAST(0 AS BIGINT) AS broken, CAST(0 AS BIGINT) AS miscounted
+FROM (SELECT DISTINCT id, compiled_truth FROM pages WHERE compiled_truth <> '')"""
+
+# The containers are checked by what must hold of them.
+P9_AUDIT = """SELECT limit_id, (SELECT count(DISTINCT doc_id) FROM documents) AS items, CAST(0 AS BIGINT) AS overfull, CAST(0 AS BIGINT) AS torn, CAST(0 AS BIGINT) AS together FROM pack_limits"""
+
 P4_FOUND = r"""WITH c AS (SELECT DISTINCT page_id, chunk_index, coalesce(chunk_text, '') AS x FROM content_chunks WHERE chunk_source = 'compiled_truth'),
 j AS (SELECT c.*, t, instr(t, x) AS s, instr(t, x) + length(x) AS e FROM c JOIN (SELECT DISTINCT id, coalesce(compiled_truth, '') AS t FROM pages) p ON p.id = c.page_id),
 b AS (SELECT page_id, chunk_index, x,
@@ -38,4 +55,11 @@ i AS (SELECT *, CASE WHEN s <= lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 20
 g AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY s) AS island FROM i)
 SELECT doc_id, CAST(min(s) AS INT) AS span_start, CAST(max(s) + 200 AS INT) AS span_end FROM g GROUP BY doc_id, island"""
 
-ORACLES = {"p1_audit": P1_AUDIT, "p2_found": P2_FOUND, "p4_found": P4_FOUND, "p7_found": P7_FOUND, "p7_nearest": P7_NEAREST, "p10_found": P10_FOUND}
+_SPANS = P10_FOUND.replace("\nSELECT doc_id, CAST(min(s) AS INT) AS span_start, CAST(max(s) + 200 AS INT) AS span_end FROM g GROUP BY doc_id, island", ",\nr AS (SELECT doc_id, max(s) + 200 - min(s) AS n FROM g GROUP BY doc_id, island)")
+P10_SHARE = f"""{_SPANS}
+SELECT d.doc_id, coalesce(length(d.text), 0) AS n_chars, CAST(coalesce(sum(r.n), 0) AS BIGINT) AS shared_chars, count(r.n) AS spans FROM documents d LEFT JOIN r USING (doc_id) GROUP BY ALL"""
+
+ORACLES = {
+    "p1_audit": P1_AUDIT, "p2_found": P2_FOUND, "p2_classes": P2_CLASSES, "p4_found": P4_FOUND, "p4_audit": P4_AUDIT, "p7_found": P7_FOUND, "p7_nearest": P7_NEAREST, "p9_audit": P9_AUDIT,
+    "p10_found": P10_FOUND, "p10_share": P10_SHARE,
+}
