@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scores
+from ..session import materialize
 from . import search
 
 #: Days after which a fact of a kind counts half as a decay constant.
@@ -115,22 +116,19 @@ def redacted(text: Column) -> Column:
 
 
 def batches(df: DataFrame, size: int, order: Sequence[str]) -> Iterator[DataFrame]:
-    """Keyset pagination: frames of up to ``size`` rows, each beginning behind the last row of the one before."""
-    after = None
-    while True:
-        page = df if after is None else df.where(_behind(order, after))
-        page = page.orderBy(*order).limit(size).persist()
-        rows = page.select(*order).orderBy(*[F.desc(c) for c in order]).limit(1).collect()
-        if not rows:
-            return
-        yield page
-        after = rows[0]
-
-
-def _behind(order: Sequence[str], after) -> Column:
-    """Row-value comparison (a, b, …) > after."""
-    out, equal = F.lit(False), F.lit(True)
-    for column in order:
-        out = out | (equal & (F.col(column) > F.lit(after[column])))
-        equal = equal & (F.col(column) == F.lit(after[column]))
-    return out
+    """Keyset pagination: frames of up to ``size`` rows in order.
+
+    The table is sorted once, range by range, and written with the number of each row's frame; each
+    frame is a pruned read of it.
+    """
+    number = "__number"
+    placed = materialize(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id()).withColumn("__at", F.monotonically_increasing_id()))
+    sizes = {r["__part"]: (r["n"], r["low"]) for r in placed.groupBy("__part").agg(F.count("*").alias("n"), F.min("__at").alias("low")).collect()}  # one row a partition
+    start, shift = 0, F.lit(None).cast("bigint")
+    for part in sorted(sizes):
+        n, low = sizes[part]
+        shift = F.when(F.col("__part") == part, F.lit(start - low)).otherwise(shift)
+        start += n
+    framed = materialize(placed.withColumn(number, F.floor((F.col("__at") + shift) / size)).drop("__part", "__at"))
+    for i in range(-(-start // size)):
+        yield framed.where(F.col(number) == i).drop(number)

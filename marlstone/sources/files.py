@@ -36,15 +36,37 @@ def syncable(path: Column) -> Column:
     return inside & path.rlike(r"\.(md|mdx|markdown)$")
 
 
+def exclusion(path: Column) -> Column:
+    """Why a path is no document to import: its folder or its ending; null for documents."""
+    out = F.when(F.lit(False), "")
+    for folder in SKIPPED:
+        out = out.when(F.concat(F.lit("/"), path).contains(f"/{folder}/"), F.lit(f"in {folder}"))
+    return out.when(~path.rlike(r"\.(md|mdx|markdown)$"), "no markdown")
+
+
 def _strip(text: Column) -> Column:
     return F.regexp_replace(text, r"\A\s+|\s+\z", "")
 
 
+def _relative(root: str) -> Column:
+    base = root.rstrip("/").removeprefix("file://")
+    return F.regexp_replace(F.regexp_replace("path", "^[a-z]+:/*", "/"), f"^{base}/", "")
+
+
+def markdown_rejects(spark: SparkSession, root: str, most_bytes: int = 5_000_000) -> DataFrame:
+    """(path, bytes, reason): the files that ``markdown_tree`` leaves out. No content is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select(_relative(root).alias("path"), F.col("length").alias("bytes"))
+    reason = F.coalesce(exclusion(F.col("path")), F.when(F.col("bytes") > most_bytes, F.lit(f"more than {most_bytes} bytes")))
+    return files.withColumn("reason", reason).where("reason IS NOT NULL")
+
+
 def markdown_tree(spark: SparkSession, root: str, source_id: str, most_bytes: int = 5_000_000) -> DataFrame:
-    """Pages of a folder of markdown files: slug, type, title, body, timeline, content hash."""
+    """Pages of a folder of markdown files: slug, type, title, body, timeline, content hash.
+
+    Larger files and those of skipped folders are listed by ``markdown_rejects``.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.{md,mdx,markdown}").load(root)
-    base = root.rstrip("/").removeprefix("file://")
-    path = F.regexp_replace(F.regexp_replace("path", "^[a-z]+:/*", "/"), f"^{base}/", "")
+    path = _relative(root)
     rows = files.where(F.col("length") <= most_bytes).select(path.alias("path"), F.decode("content", "UTF-8").alias("text"), "modificationTime")
     rows = rows.where(syncable(F.col("path")))
     body = F.regexp_replace("text", r"(?s)\A---\r?\n.*?\r?\n---\s*(?:\r?\n|\z)", "")
@@ -79,10 +101,20 @@ def export_markdown(pages: DataFrame, root: str) -> None:
     as_markdown(pages).foreachPartition(write)
 
 
-def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Rows of JSON lines; blank lines and # comments are skipped, broken lines dropped."""
+def _json_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
     text = spark.read.text(path).where("trim(value) <> '' AND NOT startswith(trim(value), '#')")
-    return text.select(F.from_json("value", schema, {"mode": "PERMISSIVE"}).alias("r")).where("r IS NOT NULL").select("r.*")
+    how = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
+    return text.select("value", F.from_json("value", f"{schema}, _broken string", how).alias("r"))
+
+
+def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Rows of JSON lines; blank lines and # comments are skipped; broken lines are in ``json_rejects``."""
+    return _json_rows(spark, path, schema).where("r._broken IS NULL").select("r.*").drop("_broken")
+
+
+def json_rejects(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """(line): the lines that are no JSON of the schema."""
+    return _json_rows(spark, path, schema).where("r._broken IS NOT NULL").select(F.col("value").alias("line"))
 
 
 def change_set(diff: DataFrame) -> DataFrame:

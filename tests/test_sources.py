@@ -36,10 +36,23 @@ def test_change_set(spark):
 
 
 def test_json_lines(spark, tmp_path):
-    (tmp_path / "q.jsonl").write_text('# comment\n\n{"q": "a", "k": 3}\n{"q": "b"}\n')
+    (tmp_path / "q.jsonl").write_text('# comment\n\n{"q": "a", "k": 3}\n{"q": "b"}\n{broken\n')
     assert sorted((r["q"], r["k"]) for r in files.json_lines(spark, str(tmp_path), "q string, k int").collect()) == [("a", 3), ("b", None)]
 
 
+def test_rejects_are_listed(spark, tmp_path):
+    (tmp_path / "in" / "dist").mkdir(parents=True)
+    (tmp_path / "in" / "big.md").write_text("x" * 50)
+    (tmp_path / "in" / "dist" / "a.md").write_text("x")
+    (tmp_path / "in" / "b.txt").write_text("x")
+    (tmp_path / "in" / "ok.md").write_text("x")
+    root = str(tmp_path / "in")
+    assert {r["slug"] for r in files.markdown_tree(spark, root, "s", most_bytes=10).collect()} == {"ok"}
+    assert {(r["path"], r["reason"]) for r in files.markdown_rejects(spark, root, most_bytes=10).collect()} == {("big.md", "more than 10 bytes"), ("dist/a.md", "in dist"), ("b.txt", "no markdown")}
+    (tmp_path / "q.jsonl").write_text('{"q": "a"}\n{broken\n')
+    assert [r["line"] for r in files.json_rejects(spark, str(tmp_path / "q.jsonl"), "q string").collect()] == ["{broken"]
+
+
 def test_chat_turns(spark):
     text = "intro\n[09:01] Ann: hello\nmore\n\n[09:02] Bob: hi: there\n"
     df = spark.createDataFrame([(1, text), (2, None), (3, "")], "id int, t string")

@@ -31,8 +31,19 @@ def test_validation_and_dedup(spark, tmp_path):
 
 
 def test_upsert_batches_keep_the_newest(spark, tmp_path):
-    df = stream(spark, tmp_path, [[event(text="old")], [event(text="new", at=5)]])
-    q = ingest.upsert_batches(df, str(tmp_path / "out"), ["source_kind"], str(tmp_path / "state"))
-    q.awaitTermination(120)
-    last = max((tmp_path / "out").iterdir(), key=lambda p: int(p.name[1:]))
-    assert [r["content"] for r in spark.read.parquet(str(last)).collect()] == ["new"]
+    df = stream(spark, tmp_path, [[event(text="old"), event("chat", "only", 1)], [event(text="new", at=5)]])
+    for _ in range(2):  # a second run finds nothing new and loses nothing
+        ingest.upsert_batches(df, str(tmp_path / "out"), ["source_kind"], str(tmp_path / "state")).awaitTermination(120)
+    assert sorted(r["content"] for r in ingest.current(spark, str(tmp_path / "out"), ["source_kind"]).collect()) == ["new", "only"]
+
+
+def test_a_repeat_renews_the_sliding_window(spark, tmp_path):
+    df = stream(spark, tmp_path, [[event(at=0)], [event(at=20), event(text="y", at=20)], [event(at=40)], [event(at=65)]])
+    got = sorted((r["content"], r["received_at"].day, r["received_at"].hour) for r in run(spark, ingest.sliding_dedup(df), "slid"))
+    assert got == [("x", 1, 0), ("x", 3, 17), ("y", 1, 20)]
+
+
+def test_rate_limit_drops_what_is_beyond_it(spark, tmp_path):
+    df = stream(spark, tmp_path, [[event(text=f"{i}", at=i / 3600) for i in range(6)], [event(text=f"{i}", at=i / 3600) for i in range(6, 30)]])
+    got = sorted(int(r["content"]) for r in run(spark, ingest.rate_limited(df, most=3, seconds=10), "limited"))
+    assert got == [0, 1, 2, 10, 11, 12, 20, 21, 22]
