@@ -530,16 +530,27 @@ def _class(c: str) -> str | _Block | None:
     return found if found is not None else next((b for b in _BLOCKS if b.first <= ord(c) <= b.last), None)
 
 
+_LETTERS, _RUN = re.compile(r"[^\W\d_]+"), re.compile(r"[^\W_]+")
+#: Words of an address that stay.
+_ADDRESS_WORDS = re.compile(rf"(?:{_KINDS}|Flat|Apt|Unit|Suite|P|O|Box|Calle|rue|bis|ter|straße|weg|road|street|lane|close)$", re.I)
+
+
 class Surrogates:
     """Keyed, format-preserving replacements, distinct and never their originals."""
 
     def __init__(self, key: bytes, rounds: int = 4):
         self.key, self.rounds = key[:64], rounds
         self.seen: dict[tuple[str, str], str] = {}
+        self.tokens: dict[tuple[str, bool], str] = {}
 
     def _number(self, text: str) -> int:
         return int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8, key=self.key).digest(), "big")
 
+    def _numbers(self, text: str, count: int) -> list[int]:
+        """``count`` keyed numbers below 2**32, of one digest for each sixteen."""
+        digest = b"".join(hashlib.blake2b(f"{text}|{part}".encode(), key=self.key).digest() for part in range(-(-count // 16)))
+        return [int.from_bytes(digest[4 * i : 4 * i + 4], "big") for i in range(count)]
+
     def _shift(self, c: str, what: str) -> str:
         """The letter of the same alphabet a keyed distance away, never itself."""
         group = _class(c)
@@ -553,12 +564,20 @@ class Surrogates:
         for r in range(self.rounds)[::way]:
             moved, other = halves[r % 2], halves[1 - r % 2]
             seen = "".join(base[p] for p in other)
-            for p in moved:
+            for p, amount in zip(moved, self._numbers(f"{tweak}|{r}|{seen}", len(moved))):
                 group = _class(base[p])
-                base[p] = group[(group.index(base[p]) + way * self._number(f"{tweak}|{r}|{p}|{seen}")) % len(group)]
+                base[p] = group[(group.index(base[p]) + way * amount) % len(group)]
 
     def token(self, token: str, name: bool = False) -> str:
-        """One run of letters or digits. In a name the first letter follows its own permutation, and an ending that tells gender stays."""
+        """One run of letters or digits, remembered. In a name the first letter follows its own permutation, and an ending that tells gender stays."""
+        found = self.tokens.get((token, name))
+        if found is None:
+            if len(self.tokens) > 300_000:  # memory only
+                self.tokens.clear()
+            found = self.tokens[token, name] = self._token(token, name)
+        return found
+
+    def _token(self, token: str, name: bool) -> str:
         marks = [unicodedata.normalize("NFD", c) for c in token]
         base = [m[0].lower() for m in marks]
         places = [i for i, c in enumerate(base) if _class(c) is not None]
@@ -597,16 +616,15 @@ class Surrogates:
 
     def _value(self, kind: str, value: str) -> str:
         if kind == "name":
-            return re.sub(r"[^\W\d_]+", lambda m: m[0] if m[0].lower() in names.PARTICLES and m[0].islower() else self._named(m[0]), value)
+            return _LETTERS.sub(lambda m: m[0] if m[0] in names.PARTICLES else self._named(m[0]), value)
         if kind == "email":
             local, at, host = re.match(r"(.*?)(@|\[at\]|\(at\)|\s+at\s+)(.*)", value, re.S).groups()
             cut = max(host.rfind("."), host.rfind("]"), host.rfind(" "))
             swap = lambda part: re.sub(r"\b(?!dot\b)[^\W_]+", lambda m: self.token(m[0]), part)
             return swap(local) + at + swap(host[: cut + 1]) + host[cut + 1 :]
         if kind == "address":
-            keep = re.compile(rf"(?:{_KINDS}|Flat|Apt|Unit|Suite|P|O|Box|Calle|rue|bis|ter|straße|weg|road|street|lane|close)$", re.I)
-            return re.sub(r"[^\W_]+", lambda m: m[0] if keep.match(m[0]) else self.token(m[0]), value)
-        return re.sub(r"[^\W_]+", lambda m: self.token(m[0]) if any(c.isdigit() for c in m[0]) else m[0], value)
+            return _RUN.sub(lambda m: m[0] if _ADDRESS_WORDS.match(m[0]) else self.token(m[0]), value)
+        return _RUN.sub(lambda m: self.token(m[0]) if any(c.isdigit() for c in m[0]) else m[0], value)
 
     def _named(self, word: str) -> str:
         """The surrogate of a word of a name; what would read as a particle goes on to the next, so particles stay theirs."""
