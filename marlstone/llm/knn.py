@@ -168,42 +168,44 @@ def _windows(placed: DataFrame, kind: str, dims: int, reach: int, least: float,
     over the borders of the range partitions: each gives its first and last ``reach`` rows away, and
     those of neighbouring partitions meet afterwards.
     """
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
-        held = head = id_type = None
-
-        def border(rows, number: int, side: int) -> pa.RecordBatch:
-            lane, vectors, ids = rows
-            n = len(ids)
-            ids = pa.array(ids, id_type)
-            packed = pa.array([v.tobytes() for v in vectors.astype(np.float16)], pa.binary())
-            return pa.RecordBatch.from_arrays(
-                [ids, ids, pa.array(np.full(n, number, np.int32)), pa.array(np.arange(n, dtype=np.int32) + side * reach), pa.array(lane), packed], ["a", "b", "border", "at", "lane", "v"]
-            )
+    def rows_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        lane = _lanes(batch.column(0).to_pylist(), batch.column(1).to_numpy())
+        vectors = np.frombuffer(b"".join(batch.column(4).to_pylist()), dtype=np.float16).reshape(-1, dims)
+        return lane, vectors, batch.column(3).to_numpy(zero_copy_only=False)
 
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            id_type = batch.column(3).type
-            lane = _lanes(batch.column(0).to_pylist(), batch.column(1).to_numpy())
-            vectors = np.frombuffer(b"".join(batch.column(4).to_pylist()), dtype=np.float16).reshape(-1, dims).astype(np.float32)
-            ids = batch.column(3).to_numpy(zero_copy_only=False)
-            if head is None or len(head[2]) < reach:
-                more = (lane[:reach], vectors[:reach], ids[:reach])
-                head = more if head is None else tuple(np.concatenate([x, y])[:reach] for x, y in zip(head, more))
+            lane, vectors, ids = rows_of(batch)
+            vectors = vectors.astype(np.float32)
             old = 0
             if held is not None:
                 old = len(held[2])
                 lane, vectors, ids = (np.concatenate([x, y]) for x, y in zip(held, (lane, vectors, ids)))
             one, two = _near(lane, vectors, ids, old, reach, least, keep)
             if len(one):
-                n = len(one)
-                nothing = [pa.nulls(n, t) for t in (pa.int32(), pa.int32(), pa.int64(), pa.binary())]
-                yield pa.RecordBatch.from_arrays([pa.array(one, id_type), pa.array(two, id_type), *nothing], ["a", "b", "border", "at", "lane", "v"])
+                yield pa.RecordBatch.from_arrays([pa.array(one, batch.column(3).type), pa.array(two, batch.column(3).type)], ["a", "b"])
             held = (lane[-reach:], vectors[-reach:], ids[-reach:])
-        if held is not None:  # the last rows come before the next partition's first ones
-            yield border(held, part, 0)
-            yield border(head, part - 1, 1)
+
+    def borders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The last rows of each partition and the first of the next, under the number of the border between them."""
+        part, head, tail, id_type = TaskContext.get().partitionId(), None, None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            id_type = batch.column(3).type
+            if head is None or len(head[2]) < reach:
+                more = rows_of(batch.slice(0, reach))
+                head = more if head is None else tuple(np.concatenate([x, y])[:reach] for x, y in zip(head, more))
+            more = rows_of(batch.slice(max(0, batch.num_rows - reach)))
+            tail = more if tail is None else tuple(np.concatenate([x, y])[-reach:] for x, y in zip(tail, more))
+        for (lane, vectors, ids), border, side in ((tail, part, 0), (head, part - 1, 1)) if tail is not None else ():
+            n = len(ids)
+            packed = pa.array([v.tobytes() for v in vectors], pa.binary())
+            columns = [pa.array(ids, id_type), pa.array(np.full(n, border, np.int32)), pa.array(np.arange(n, dtype=np.int32) + side * reach), pa.array(lane), packed]
+            yield pa.RecordBatch.from_arrays(columns, ["a", "border", "at", "lane", "v"])
 
     def cross(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("at")
@@ -214,9 +216,10 @@ def _windows(placed: DataFrame, kind: str, dims: int, reach: int, least: float,
 
     # with the id, so that equal positions have an order and can be cut
     ordered = placed.repartitionByRange("g", "curve", "at", "id").sortWithinPartitions("g", "curve", "at", "id")
-    found = materialize(ordered.mapInArrow(scan, f"a {kind}, b {kind}, border int, at int, lane bigint, v binary"))
-    over = found.where("border IS NOT NULL").groupBy("border").applyInPandas(cross, f"a {kind}, b {kind}")
-    return found.where("border IS NULL").select("a", "b").union(over).where("a <> b").distinct()
+    inside = ordered.mapInArrow(scan, f"a {kind}, b {kind}")
+    # the same exchange is read again, for a few rows of each partition only
+    over = ordered.mapInArrow(borders, f"a {kind}, border int, at int, lane bigint, v binary").groupBy("border").applyInPandas(cross, f"a {kind}, b {kind}")
+    return inside.union(over).where("a <> b").distinct()
 
 
 def _cosines(vectors: DataFrame, pairs: DataFrame, dims: int) -> DataFrame:
@@ -248,7 +251,9 @@ def neighbours(
     copies = ids.groupBy("g", "same").agg(F.min("id").alias("rep"), F.count("*").alias("size"))
     members = materialize(ids.join(copies.hint("merge"), ["g", "same"]).select("id", "rep", "size", "g", "same"))
     chosen = members.where("id = rep").select("id", "g", "same")
-    single = materialize(usable.join(chosen.hint("merge"), ["id", "g", "same"]).select("id", "g", "v").dropDuplicates(["id"]))
+    # by the id alone, so that the vectors are shuffled once for the join and for the distinct ids
+    match = usable.join(chosen.toDF("id", "one_g", "one_same").hint("merge"), "id").where("g = one_g AND same = one_same")
+    single = materialize(match.select("id", "g", "v").dropDuplicates(["id"]))
 
     near = materialize(_windows(_placed(single, dims, curves, seed), kind, dims, reach, -2.0 if least is None else least, k if least is None else None))
     pairs = near
