@@ -33,6 +33,8 @@ from ..session import materialize
 
 #: The curves: how many, grid dimensions and bits each, neighbours looked at on each side.
 CURVES, GRID, BITS, REACH = 12, 16, 4, 32
+#: Rows on curves that one task looks through, about 30 MB.
+PART = 200_000
 #: What half precision may take off a cosine of unit vectors.
 SLACK = 0.002
 
@@ -161,7 +163,7 @@ def _lanes(names: list[str], curves: np.ndarray) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(n) >> 8 for n in found], dtype=np.int64)[code] * 31 + curves
 
 
-def _windows(placed: DataFrame, kind: str, dims: int, reach: int, least: float, keep: int | None) -> DataFrame:
+def _windows(placed: DataFrame, kind: str, dims: int, reach: int, least: float, keep: int | None, parts: int | None = None) -> DataFrame:
     """(a, b): pairs within ``reach`` keys on some curve with a cosine of about ``least`` or more.
 
     With ``keep``, of each row only its ``keep`` best partners in each window are given. Windows go on
@@ -215,7 +217,8 @@ def _windows(placed: DataFrame, kind: str, dims: int, reach: int, least: float,
         return pd.DataFrame({"a": one, "b": two})
 
     # with the id, so that equal positions have an order and can be cut
-    ordered = placed.repartitionByRange("g", "curve", "at", "id").sortWithinPartitions("g", "curve", "at", "id")
+    order = ["g", "curve", "at", "id"]
+    ordered = (placed.repartitionByRange(parts, *order) if parts else placed.repartitionByRange(*order)).sortWithinPartitions("g", "curve", "at", "id")
     inside = ordered.mapInArrow(scan, f"a {kind}, b {kind}")
     # the same exchange is read again, for a few rows of each partition only
     over = ordered.mapInArrow(borders, f"a {kind}, border int, at int, lane bigint, v binary").groupBy("border").applyInPandas(cross, f"a {kind}, b {kind}")
@@ -255,7 +258,9 @@ def neighbours(
     match = usable.join(chosen.toDF("id", "one_g", "one_same").hint("merge"), "id").where("g = one_g AND same = one_same")
     single = materialize(match.select("id", "g", "v").dropDuplicates(["id"]))
 
-    near = materialize(_windows(_placed(single, dims, curves, seed), kind, dims, reach, -2.0 if least is None else least, k if least is None else None))
+    # so many partitions that each holds about PART rows, however many there are
+    parts = max(-(-single.count() * curves // PART), df.sparkSession.sparkContext.defaultParallelism)
+    near = materialize(_windows(_placed(single, dims, curves, seed), kind, dims, reach, -2.0 if least is None else least, k if least is None else None, parts))
     pairs = near
     if least is not None:
         way = near.union(near.select("b", "a")).toDF("m", "e")
