@@ -37,6 +37,10 @@ ROUNDS, RUNS, KEPT = 12, (0, 4), (12, 9, 6, 3, 0)
 #: Characters of a slice, and of a bucket on average.
 SLICE, BUCKET = 1_000_000, 6_000_000
 _FAR = np.int32(1 << 30)
+#: Odd factors whose product's highest bit is a symbol's coin, one for each round.
+_COINS = [_U((int(_ODD[2]) * (2 * i + 3)) % (1 << 64)) for i in range(ROUNDS)]
+#: Characters whose rounds run together: what fits into a core's cache.
+CACHED = 60_000
 
 
 def _name(x: np.ndarray) -> np.ndarray:
@@ -63,18 +67,25 @@ def _runs(sym, dl, dr, piece):
 
 def _pairs(sym, dl, dr, piece, number):
     """Each left symbol before a right one joins it. A left symbol has looked right, a right one left."""
-    right = (_name(sym + _U((number + 1) * int(_ODD[2]) % (1 << 64))) & _U(1)).astype(bool)
-    one = piece[1:] == piece[:-1]
-    join = ~right[:-1] & right[1:] & one
-    new_r = np.append(np.where(one, dr[1:], _FAR), _FAR)
-    new_l = np.insert(np.where(one, dl[:-1], -_FAR), 0, -_FAR)
-    dl, dr = np.where(right, new_l, dl), np.where(right, dr, new_r)
+    right = (sym * _COINS[number] >> _U(63)).astype(bool)
+    starts = np.flatnonzero(piece[1:] != piece[:-1]) + 1
+    join = right[1:] > right[:-1]
+    join[starts - 1] = False
+    new_l, new_r = dl.copy(), dr.copy()
+    # coins are random: a choice by bits costs a fraction of one by branches
+    looked = -right.astype(np.int32)
+    new_l[1:] ^= (dl[1:] ^ dl[:-1]) & looked[1:]
+    new_r[:-1] ^= (dr[:-1] ^ dr[1:]) & ~looked[:-1]
+    begins, ends = np.append(starts, 0), np.append(starts - 1, len(sym) - 1)  # nothing stands beyond a piece
+    new_l[begins[right[begins]]] = -_FAR
+    new_r[ends[~right[ends]]] = _FAR
     at = np.flatnonzero(join)
     sym = sym.copy()
     sym[at] = _name(sym[at] * _ODD[0] + _name(sym[at + 1] * _ODD[1] + _ODD[2]))
     keep = np.ones(len(sym), dtype=bool)
     keep[at + 1] = False
-    return sym[keep], dl[keep], dr[keep], piece[keep]
+    rest = np.flatnonzero(keep)
+    return sym[rest], new_l[rest], new_r[rest], piece[rest]
 
 
 def anchors(codes: np.ndarray, bounds: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -107,6 +118,7 @@ def anchors(codes: np.ndarray, bounds: np.ndarray, width: int) -> tuple[np.ndarr
             if not ahead[-1]:
                 break
             good[good] = ahead[high[good] + 1] > ahead[low[good]]
+        good = np.flatnonzero(good)
         sym, low, high, dl = sym[good], low[good], high[good], dl[good]
         if not len(sym):
             continue
@@ -119,8 +131,8 @@ def anchors(codes: np.ndarray, bounds: np.ndarray, width: int) -> tuple[np.ndarr
             some &= ahead[last] > ahead[first]
         first, last, one, two = first[some], last[some], one[some], two[some]
         marks = np.zeros(n + 1, dtype=np.int32)
-        marks[first] += 1
-        np.subtract.at(marks, last, 1)
+        marks[first] += 1  # intervals do not overlap: neither their beginnings nor their ends repeat
+        marks[last] -= 1
         open_ &= np.cumsum(marks) == 0
         gap = (dl[two] - dl[one]).astype(_U)
         out.append((_name(sym[one] * _ODD[0] + sym[two] * _ODD[1] + gap * _ODD[2] + _U(level)), first, last))
@@ -255,11 +267,18 @@ def shared_spans(df: DataFrame, key: str = "doc_id", text: str = "text", width:
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush():
-            bounds = np.cumsum([0, *map(len, codes)])
-            h, a, z = anchors(np.concatenate(codes), bounds, width)
-            which = np.searchsorted(bounds, a, side="right") - 1
-            back = np.array(begins)[which] - bounds[which]
-            return _asked(h, np.array(docs)[which], a + back, z + back, (h % _U(buckets)).astype(np.int64), 6)
+            made, first = [], 0
+            sizes = np.cumsum([0, *map(len, codes)])
+            while first < len(codes):
+                last = max(first + 1, int(np.searchsorted(sizes, sizes[first] + CACHED, side="right")) - 1)
+                bounds = sizes[first : last + 1] - sizes[first]
+                h, a, z = anchors(np.concatenate(codes[first:last]), bounds, width)
+                which = np.searchsorted(bounds, a, side="right") - 1
+                back = np.array(begins[first:last])[which] - bounds[which]
+                made.append((h, np.array(docs[first:last])[which], a + back, z + back))
+                first = last
+            h, d, a, z = map(np.concatenate, zip(*made))
+            return _asked(h, d, a, z, (h % _U(buckets)).astype(np.int64), 6)
 
         codes, docs, begins, held = [], [], [], 0
         for batch in batches:
