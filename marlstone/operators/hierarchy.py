@@ -142,13 +142,19 @@ def ancestry(tree: DataFrame) -> DataFrame:
     return steps.where("at < depth").select("ancestor", "id", (_col("depth") - _col("at")).alias("distance"))
 
 
-def descendants(tree: DataFrame, wanted: DataFrame, key: str = "id") -> DataFrame:
+def descendants(tree: DataFrame, wanted: DataFrame, key: str = "id", bin_size: int = 64) -> DataFrame:
     """(ancestor, id): all descendants of the nodes of ``wanted``, by nested-set ranges.
 
-    Nested wanted nodes repeat their common descendants, as asked for; a node outside any wanted
-    range meets no row.
+    Preorder numbers are cut into bins: a node stands in one, a range goes to each it overlaps, so a
+    tree of any size is spread over tasks and a node meets few ranges that do not hold it. Ranges make
+    no more rows than a ``bin_size``-th of the result and one or two each. Nested wanted nodes repeat
+    their common descendants, as asked for; a node outside any wanted range meets no row.
     """
+    placed = tree.where("lft IS NOT NULL")
     ranges = wanted.select(_col(key).alias("ancestor")).distinct().join(
-        tree.where("lft IS NOT NULL").select(_col("id").alias("ancestor"), "root", _col("lft").alias("a"), _col("rgt").alias("z")), "ancestor"
+        placed.where("rgt > lft + 1").select(_col("id").alias("ancestor"), "root", _col("lft").alias("a"), _col("rgt").alias("z")), "ancestor"
     )
-    return tree.join(ranges, "root").where("lft > a AND lft < z").select("ancestor", "id")
+    number = lambda c: F.floor(c / bin_size)
+    over = ranges.withColumn("bin", F.explode(F.sequence(number(_col("a") + 1), number(_col("z") - 1))))
+    nodes = placed.select("id", "root", "lft", number(_col("lft")).alias("bin"))
+    return nodes.join(over.hint("merge"), ["root", "bin"]).where("lft > a AND lft < z").select("ancestor", "id")

@@ -71,10 +71,22 @@ def capped_share(df: DataFrame, by: str, share: float, limit: int, *ties: str) -
     return placed.crossJoin(F.broadcast(n)).where(F.col("__at") <= F.ceil(F.col("__n") * share)).drop("__at", "__n")
 
 
-def within_budget(df: DataFrame, cost: str, budget: int, order: Sequence[Column], by: Sequence[str] = ()) -> DataFrame:
-    """The longest beginning of each ordered group whose costs stay within a budget."""
-    at = (Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))).orderBy(*order)
-    return df.withColumn("spent", F.sum(cost).over(at.rowsBetween(Window.unboundedPreceding, 0))).where(F.col("spent") <= budget)
+def within_budget(df: DataFrame, cost: str, budget: int, order: Sequence[Column], by: Sequence[str] = (), place: Column | None = None, block: int = 256) -> DataFrame:
+    """The longest beginning of each ordered group whose costs (none below zero) stay within a budget.
+
+    ``place`` is a whole number that ascends with the order: with it, sums are taken inside blocks of
+    places, then over the blocks' totals, so no group is gathered in one task.
+    """
+    if place is None:
+        at = (Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))).orderBy(*order)
+        return df.withColumn("spent", F.sum(cost).over(at.rowsBetween(Window.unboundedPreceding, 0))).where(F.col("spent") <= budget)
+    rows = df.withColumn("__block", F.floor(place / block))
+    totals = rows.groupBy(*by, "__block").agg(F.sum(cost).alias("__total"))
+    before = Window.partitionBy(*by).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select(*by, "__block", F.coalesce(F.sum("__total").over(before), F.lit(0)).alias("__start")).where(F.col("__start") <= budget)
+    at = Window.partitionBy(*by, "__block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    inside = rows.join(starts, [*by, "__block"]).withColumn("spent", F.col("__start") + F.sum(cost).over(at))
+    return inside.where(F.col("spent") <= budget).drop("__block", "__start")
 
 
 def quality(hits: DataFrame, judged: DataFrame, k: int) -> DataFrame:

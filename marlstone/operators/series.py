@@ -66,3 +66,30 @@ def sessions(events: DataFrame, by: str, at: Column, gap_seconds: int) -> DataFr
     order = Window.partitionBy(by).orderBy("__s", "event_id")
     out = events.withColumn("__s", at).withColumn("__new", (F.col("__s") - F.lag("__s").over(order) > gap_seconds).cast("int"))
     return out.withColumn("session", F.sum(F.coalesce("__new", F.lit(0))).over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("__s", "__new")
+
+
+def lagged(df: DataFrame, by: Sequence[str], place: str, tie: str, value: str, out: str, block: int = 256) -> DataFrame:
+    """df with the value of the row before, in the order of (place, tie), null for a group's first row.
+
+    Rows are ordered inside blocks of places; a block's first row takes the last value of the block
+    before, so no group is gathered in one task.
+    """
+    rows = df.withColumn("__block", F.floor(F.col(place) / block))
+    last = rows.groupBy(*by, "__block").agg(F.max_by(value, F.struct(place, tie)).alias("__last"))
+    before = last.select(*by, "__block", F.lag("__last").over(Window.partitionBy(*by).orderBy("__block")).alias("__before"))
+    inside = F.lag(value).over(Window.partitionBy(*by, "__block").orderBy(place, tie))
+    first = F.row_number().over(Window.partitionBy(*by, "__block").orderBy(place, tie)) == 1
+    return rows.join(before, [*by, "__block"]).withColumn(out, F.when(first, F.col("__before")).otherwise(inside)).drop("__block", "__before")
+
+
+def counted_within(df: DataFrame, by: Sequence[str], at: Column, width: int, out: str) -> DataFrame:
+    """df with the number of rows of its group from ``width`` before a row's moment to that moment.
+
+    Each row goes to the stretch of time it lies in and, as context, to the next one; frames are taken
+    inside (group, stretch), so a group is spread over its time. Rows without a moment count together.
+    """
+    rows = df.withColumn("__at", at).withColumn("__own", F.floor(F.col("__at") / width))
+    both = rows.withColumn("__in", F.explode(F.array("__own", F.col("__own") + 1)))
+    both = both.where(F.col("__own").isNotNull()).unionByName(rows.where("__own IS NULL").withColumn("__in", F.col("__own")))
+    frame = Window.partitionBy(*by, "__in").orderBy("__at").rangeBetween(-width, 0)
+    return both.withColumn(out, F.count("*").over(frame)).where(F.col("__in").eqNullSafe(F.col("__own"))).drop("__at", "__own", "__in")

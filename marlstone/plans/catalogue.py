@@ -13,7 +13,7 @@ from ..sources.tables import table
 from . import documents, graphs, knowledge, lookups, measures, operations, parsing, rankings, searching, streams, texts, writes  # noqa: F401 - they register their queries
 from .registry import ORACLES, QUERIES
 
-FLAGSHIP = "hybrid_search"
+FLAGSHIP = "hybrid_full"
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scores
-from ..operators import documents, graph, search
+from ..operators import documents, graph, search, series
 from ..sources.tables import table
 from .knowledge import _C, _E, _P, _chunks, _jobs, _pages, _LATEST
 from .registry import query
@@ -15,18 +15,6 @@ _LINES = r"(SELECT {key}, generate_subscripts(l, 1) - 1 AS line_no, unnest(l) AS
 _DOC_LINES = _LINES.format(key="doc_id", text="text", table="documents", where="{where}")
 
 
-@query(rf"""WITH m AS (SELECT *, sum(CASE WHEN regexp_matches(line, '^\[(\d{{1,2}}:\d{{2}}(?::\d{{2}})?)\] ([^:\n]{{1,60}}): (.*)$') THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY line_no) AS turn FROM {_DOC_LINES.format(where="kind = 'chat'")})
-SELECT doc_id, CAST(turn AS BIGINT) AS turn, regexp_extract(first(line ORDER BY line_no), '^\[(\d{{1,2}}:\d{{2}}(?::\d{{2}})?)\] ([^:\n]{{1,60}}): (.*)$', 1) AS "at",
-regexp_extract(first(line ORDER BY line_no), '^\[(\d{{1,2}}:\d{{2}}(?::\d{{2}})?)\] ([^:\n]{{1,60}}): (.*)$', 2) AS speaker, count(*) AS lines FROM m WHERE turn > 0 GROUP BY doc_id, turn""")
-def chat_turns(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table(spark, folder, "documents").where("kind = 'chat'")
-    turns = documents.chat_turns(rows.withColumn("text", F.regexp_replace("text", r"\r\n", "\n")), "doc_id", "text")
-    shape = documents.CHAT_LINES["bracket"]
-    running = Window.partitionBy("doc_id").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
-    count = documents.lines(rows, "doc_id", "text").withColumn("turn", F.sum(F.col("line").rlike(shape).cast("int")).over(running)).groupBy("doc_id", "turn").agg(F.count("*").alias("lines"))
-    return turns.join(count, ["doc_id", "turn"]).select("doc_id", "turn", "at", "speaker", "lines")
-
-
 @query(rf"SELECT doc_id, line_no, length(regexp_extract(line, '^(#{{1,6}}) +(.*?) *$', 1)) AS level, regexp_extract(line, '^(#{{1,6}}) +(.*?) *$', 2) AS heading FROM {_DOC_LINES.format(where='true')} WHERE regexp_matches(line, '^(#{{1,6}}) +(.*?) *$')")
 def outlines(spark: SparkSession, folder: str) -> DataFrame:
     return documents.headings(table(spark, folder, "documents"), "doc_id", "text")
@@ -52,26 +40,6 @@ def timeline_lines(spark: SparkSession, folder: str) -> DataFrame:
     return documents.timeline_rows(table(spark, folder, "pages"), "id", "timeline").select("id", "day", "source").distinct()
 
 
-@query(r"SELECT doc_id, count(DISTINCT d) AS days, min(d) AS first_day, max(d) AS last_day FROM (SELECT doc_id, unnest(regexp_extract_all(text, '\b(20\d\d-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d))\b', 1)) AS d FROM documents) GROUP BY 1")
-def mentioned_days(spark: SparkSession, folder: str) -> DataFrame:
-    found = F.regexp_extract_all("text", F.lit(r"\b(20\d\d-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d))\b"), 1)
-    rows = table(spark, folder, "documents").where("text IS NOT NULL").select("doc_id", F.array_distinct(found).alias("d")).where("size(d) > 0")
-    return rows.select("doc_id", F.size("d").cast("bigint").alias("days"), F.array_min("d").alias("first_day"), F.array_max("d").alias("last_day"))
-
-
-@query(f"""WITH t AS (SELECT lower(title) AS name, min(id) AS target FROM {_P} WHERE type IN ('person', 'company') AND regexp_matches(title, '^[A-Z]\\w+ [A-Z]\\w+$') GROUP BY 1),
-m AS (SELECT DISTINCT id, lower(unnest(regexp_extract_all(compiled_truth, '[A-Z]\\w+ [A-Z]\\w+'))) AS name FROM {_P} WHERE compiled_truth IS NOT NULL)
-SELECT m.id, t.target FROM m JOIN t USING (name) WHERE m.id <> t.target""")
-def title_mentions(spark: SparkSession, folder: str) -> DataFrame:
-    """Dictionary join: two-word titles mentioned in bodies. Mentions are made distinct per page before the join."""
-    pages = table(spark, folder, "pages")
-    names = pages.where("type IN ('person', 'company')").where(F.col("title").rlike(r"^[A-Z][A-Za-z0-9_]+ [A-Z][A-Za-z0-9_]+$"))
-    names = names.groupBy(F.lower("title").alias("name")).agg(F.min("id").alias("target"))
-    found = F.regexp_extract_all("compiled_truth", F.lit(r"[A-Z][A-Za-z0-9_]+ [A-Z][A-Za-z0-9_]+"), 0)
-    said = pages.where("compiled_truth IS NOT NULL").select("id", F.explode(F.array_distinct(F.transform(found, lambda x: F.lower(x)))).alias("name")).distinct()
-    return said.join(names, "name").where("id <> target").select("id", "target")
-
-
 _KIND = "CASE symbol_type WHEN 'class' THEN 0 WHEN 'interface' THEN 1 WHEN 'function' THEN 2 WHEN 'method' THEN 3 ELSE 4 END"
 
 
@@ -104,15 +72,14 @@ def chunk_gaps(spark: SparkSession, folder: str) -> DataFrame:
     return rows.where("chunk_index > 0").join(before, ["page_id", "chunk_index"], "left_anti")
 
 
-@query(f"""WITH v AS (SELECT page_id, chunk_index, id, CAST(embedding AS DOUBLE[]) AS e FROM {_C} WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: isnan(x) OR isinf(x))) = 0 AND chunk_source = 'compiled_truth'),
+@query(f"""WITH v AS (SELECT page_id, chunk_index, id, CAST(embedding AS DOUBLE[]) AS e FROM {_C} WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: isnan(x) OR isinf(x))) = 0),
 s AS (SELECT page_id, list_cosine_similarity(e, lag(e) OVER (PARTITION BY page_id ORDER BY chunk_index, id)) AS c FROM v)
 SELECT page_id, count(*) AS steps, round(1 - avg(coalesce(nullif(c, 'nan'::DOUBLE), 0)), 5) AS drift FROM s WHERE c IS NOT NULL GROUP BY 1 HAVING count(*) >= 2""")
 def embedding_drift(spark: SparkSession, folder: str) -> DataFrame:
     """One less the mean cosine of a page's consecutive chunks."""
-    rows = table(spark, folder, "content_chunks").where("chunk_source = 'compiled_truth' AND size(embedding) = 64 AND NOT exists(embedding, x -> isnan(x) OR abs(x) = float('inf'))")
-    rows = rows.select("id", "page_id", "chunk_index", "embedding").distinct()
-    order = Window.partitionBy("page_id").orderBy("chunk_index", "id")
-    steps = rows.withColumn("before", F.lag("embedding").over(order)).where("before IS NOT NULL").select("page_id", scores.cosine(F.col("embedding"), F.col("before")).alias("c"))
+    rows = table(spark, folder, "content_chunks").where("size(embedding) = 64 AND NOT exists(embedding, x -> isnan(x) OR abs(x) = float('inf'))")
+    rows = rows.select("id", "page_id", "chunk_index", "embedding").dropDuplicates(["id"])
+    steps = series.lagged(rows, ["page_id"], "chunk_index", "id", "embedding", "before").where("before IS NOT NULL").select("page_id", scores.cosine(F.col("embedding"), F.col("before")).alias("c"))
     return steps.groupBy("page_id").agg(F.count("*").alias("steps"), F.round(1 - F.avg("c"), 5).alias("drift")).where("steps >= 2")
 
 

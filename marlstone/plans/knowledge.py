@@ -66,18 +66,18 @@ def duplicate_hashes(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"""SELECT id, content_hash IS NULL AS missing, lower(content_hash) IS DISTINCT FROM sha256(compiled_truth) AS stale
 FROM {_P} WHERE compiled_truth IS NOT NULL AND lower(content_hash) IS DISTINCT FROM sha256(compiled_truth)""")
 def stale_hashes(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _pages(spark, folder, "content_hash", "compiled_truth").where("compiled_truth IS NOT NULL")
+    """Bodies are hashed on the scan; only ids and flags are made distinct."""
     stale = ~F.lower("content_hash").eqNullSafe(F.sha2("compiled_truth", 256))
-    return rows.where(stale).select("id", F.col("content_hash").isNull().alias("missing"), F.lit(True).alias("stale"))
+    rows = table(spark, folder, "pages").where(F.col("compiled_truth").isNotNull() & stale)
+    return rows.select("id", F.col("content_hash").isNull().alias("missing"), F.lit(True).alias("stale")).distinct()
 
 
 @query(f"""SELECT chunk_source, model, count(*) AS chunks, count(*) FILTER (embedding IS NULL) AS missing, count(*) FILTER (embedding IS NULL OR model <> 'embed-large-v3') AS stale
 FROM {_C} GROUP BY ALL""")
 def embedding_backlog(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _chunks(spark, folder, "chunk_source", "model", "embedding")
-    return rows.groupBy("chunk_source", "model").agg(
-        F.count("*").alias("chunks"), F.count_if(page_ops.stale_chunk()).alias("missing"), F.count_if(page_ops.stale_chunk("embed-large-v3")).alias("stale")
-    )
+    """Vectors are tested on the scan; no vector is shuffled."""
+    rows = _chunks(spark, folder, "chunk_source", "model", page_ops.stale_chunk().alias("m"), page_ops.stale_chunk("embed-large-v3").alias("s"))
+    return rows.groupBy("chunk_source", "model").agg(F.count("*").alias("chunks"), F.count_if("m").alias("missing"), F.count_if("s").alias("stale"))
 
 
 @query(f"""SELECT source_id, count(*) AS pages FROM {_P} WHERE deleted_at IS NULL AND (links_extracted_at IS NULL OR updated_at > links_extracted_at
@@ -411,9 +411,9 @@ def diverse_ranking(spark: SparkSession, folder: str) -> DataFrame:
 FROM (SELECT DISTINCT id, page_id, chunk_index, chunk_text FROM content_chunks WHERE chunk_source = 'compiled_truth'))) WHERE spent <= 1000""")
 def context_budget(spark: SparkSession, folder: str) -> DataFrame:
     """The beginning of each page's body chunks that fits into a budget of 1,000 tokens."""
-    rows = table(spark, folder, "content_chunks").where("chunk_source = 'compiled_truth'").select("id", "page_id", "chunk_index", "chunk_text").distinct()
-    rows = rows.withColumn("cost", text.estimated_tokens(F.coalesce("chunk_text", F.lit(""))))
-    return search.within_budget(rows, "cost", 1000, [F.asc("chunk_index"), F.asc("id")], ["page_id"]).select("page_id", F.col("id").alias("chunk_id"), "spent")
+    cost = text.estimated_tokens(F.coalesce("chunk_text", F.lit("")))
+    rows = table(spark, folder, "content_chunks").where("chunk_source = 'compiled_truth'").select("id", "page_id", "chunk_index", cost.alias("cost")).distinct()
+    return search.within_budget(rows, "cost", 1000, [F.asc("chunk_index"), F.asc("id")], ["page_id"], F.col("chunk_index")).select("page_id", F.col("id").alias("chunk_id"), "spent")
 
 
 @query(f"""WITH t AS (SELECT DISTINCT id, title, list_distinct(flatten(list_transform(list_filter(string_split(regexp_replace(lower(title), '[^a-z0-9]+', ' ', 'g'), ' '), lambda w: w <> ''),

@@ -65,9 +65,9 @@ def sliding_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("""SELECT event_id, n FROM (SELECT event_id, count(*) OVER (PARTITION BY event_type ORDER BY epoch_us(ts) RANGE BETWEEN 3600000000 PRECEDING AND CURRENT ROW) AS n FROM events) WHERE n > 3""")
 def rate_limited(spark: SparkSession, folder: str) -> DataFrame:
-    """Events beyond three of their type within an hour: a range frame over time."""
-    at = Window.partitionBy("event_type").orderBy(F.unix_micros(F.col("ts").cast("timestamp"))).rangeBetween(-3_600_000_000, 0)
-    return table(spark, folder, "events").withColumn("n", F.count("*").over(at)).where("n > 3").select("event_id", "n")
+    """Events beyond three of their type within an hour: range frames over time, an hour's stretch each."""
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    return series.counted_within(table(spark, folder, "events").select("event_id", "event_type", "ts"), ["event_type"], at, 3_600_000_000, "n").where("n > 3").select("event_id", "n")
 
 
 @query("""SELECT event_type, json_extract_string(props, '$.k') AS k, count(*) AS n FROM events GROUP BY ALL""")
