@@ -114,7 +114,7 @@ def dual_dates(spark: SparkSession, folder: str) -> DataFrame:
     return rows.where("paragraphs > 0")
 
 
-@query(rf"SELECT doc_id, len(s) AS sentences, s[1] AS first FROM (SELECT doc_id, list_filter(string_split(regexp_replace(trim(text), '([.!?])[ \t\n\r\f\x0B]+', '\1' || chr(1), 'g'), chr(1)), lambda x: x <> '') AS s FROM {_D}) WHERE len(s) > 0")
+@query(rf"SELECT doc_id, len(s) AS sentences, s[1] AS first FROM (SELECT doc_id, list_filter(string_split(regexp_replace(regexp_replace(text, '^ +| +$', '', 'g'), '([.!?])[ \t\n\r\f\x0B]+', '\1' || chr(1), 'g'), chr(1)), lambda x: x <> '') AS s FROM {_D}) WHERE len(s) > 0")
 def sentence_counts(spark: SparkSession, folder: str) -> DataFrame:
     rows = _docs(spark, folder).select("doc_id", strings.sentences(F.col("text")).alias("s")).where("size(s) > 0")
     return rows.select("doc_id", F.size("s").cast("bigint").alias("sentences"), F.col("s")[0].alias("first"))
@@ -153,7 +153,7 @@ def cited_rows(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("id", F.col("c")[0].alias("first"), F.size("c").cast("bigint").alias("cited"))
 
 
-@query(rf"SELECT doc_id, substr(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '(?s)```.*?(```|$)', ' ', 'g'), '<[^>]*>', ' ', 'g'), '(?i)\b(ignore|disregard|forget) (all |any )?(previous|prior|above) (instructions|prompts|messages)\b', ' ', 'g'), '[ \t\r\n]+', ' ', 'g')), 1, 200) AS query FROM {_D}")
+@query(rf"SELECT doc_id, substr(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '(?s)```.*?(```|$)', ' ', 'g'), '<[^>]*>', ' ', 'g'), '(?i)\b(ignore|disregard|forget) (all |any )?(previous|prior|above) (instructions|prompts|messages)\b', ' ', 'g'), '[ \t\r\n]+', ' ', 'g'), '^ +| +$', '', 'g'), 1, 200) AS query FROM {_D}")
 def sanitised_queries(spark: SparkSession, folder: str) -> DataFrame:
     return _docs(spark, folder).select("doc_id", strings.sanitised(F.col("text")).alias("query"))
 

@@ -137,12 +137,12 @@ def page_snapshots(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("page_id", F.length("compiled_truth").alias("chars"), "snapshot_at")
 
 
-@query(f"""SELECT id, sha256(coalesce(CASE WHEN id % 8 = 0 THEN upper(compiled_truth) ELSE compiled_truth END, '')) AS body FROM {_PG}""")
+@query(f"""SELECT id, sha256(coalesce(CASE WHEN id % 8 = 0 THEN 'later ' || compiled_truth ELSE compiled_truth END, '')) AS body FROM {_PG}""")
 def reverted_pages(spark: SparkSession, folder: str) -> DataFrame:
     """Some pages set back to the latest of two versions."""
     pages = _pages(spark, folder, "compiled_truth", "frontmatter")
     some = pages.where("id % 8 = 0")
-    versions = writes.snapshots(some, "2025-01-01 00:00:00").union(writes.snapshots(some.withColumn("compiled_truth", F.upper("compiled_truth")), NOW))
+    versions = writes.snapshots(some, "2025-01-01 00:00:00").union(writes.snapshots(some.withColumn("compiled_truth", F.concat(F.lit("later "), "compiled_truth")), NOW))
     return writes.reverted(pages, versions).select("id", F.sha2(F.coalesce("compiled_truth", F.lit("")), 256).alias("body"))
 
 
