@@ -56,7 +56,7 @@ def blanked(text: Column, spans: Column) -> Column:
 
 def masked_code(text: Column) -> Column:
     """The text with fenced and inline code as blanks, so positions stay."""
-    fenced = blanked(text, F.regexp_extract_all(text, F.lit(r"(?s)(```.*?(?:```|$))"), 1))
+    fenced = blanked(text, F.regexp_extract_all(text, F.lit(r"(?s)(```.*?(?:```|\z))"), 1))
     return blanked(fenced, F.regexp_extract_all(fenced, F.lit(r"(`[^`\n]+`)"), 1))
 
 

@@ -52,7 +52,7 @@ def prefix_recency(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(rf"""SELECT doc_id, length(text) AS chars, md5(list_reduce(list_prepend(f, regexp_extract_all(f, '(`[^`\n]+`)', 1)), lambda s, x: replace(s, x, repeat(' ', length(x))))) AS masked FROM
-(SELECT doc_id, text, list_reduce(list_prepend(text, regexp_extract_all(text, '(?s)(```.*?(?:```|$))', 1)), lambda s, x: replace(s, x, repeat(' ', length(x)))) AS f FROM {_D})""")
+(SELECT doc_id, text, list_reduce(list_prepend(text, regexp_extract_all(text, '(?s)(```.*?(?:```|\z))', 1)), lambda s, x: replace(s, x, repeat(' ', length(x)))) AS f FROM {_D})""")
 def masked_code(spark: SparkSession, folder: str) -> DataFrame:
     """Texts with their code as blanks of the same length."""
     return _docs(spark, folder).select("doc_id", F.length("text").alias("chars"), F.md5(strings.masked_code(F.col("text"))).alias("masked"))
