@@ -5,7 +5,8 @@ issuers give them; a shape that other numbers share needs a word that announces
 token by token: given names come from counting the first words of the titles of person pages, family
 names from looking words up among those of all titles and, where they are not known there, from a
 suffix classifier fitted on a bounded sample of them; ordinary words are counted over all bodies. Given
-and family names combine with titles, initials, particles and inverted order.
+and family names combine with titles, initials, particles and inverted order. Letters of any script make
+words; names in ideographs, which stand without gaps, are looked up whole among the titles.
 
 Surrogates are keyed: digits and letters go through a keyed, format-preserving bijection without fixed
 points (a Feistel network over each token's characters, a shift, and the network backwards), so equal
@@ -178,8 +179,10 @@ def _holds(ascending: np.ndarray, value: int) -> bool:
 class Finder:
     """All kinds of personal information in a text."""
 
-    def __init__(self, given: set[str], families: Suffixes):
+    def __init__(self, given: set[str], families: Suffixes, whole: np.ndarray | None = None):
         self.given, self.families = given, families
+        # hashes, ascending, of names in scripts without gaps, which only titles tell
+        self.whole = np.zeros(0, dtype=np.int64) if whole is None else whole
         self.seen: dict[str, tuple[str, bool, float, bool]] = {}
 
     def __getstate__(self):
@@ -219,8 +222,22 @@ class Finder:
             if _STREETS.search(masked):
                 take([m.span() for m in _STREET.finditer(masked)], "address")
         out += [(a, z, "name") for a, z in self.names(masked)]
+        if len(self.whole) and not masked.isascii():
+            out += [(a, z, "name") for a, z in self.unspaced(masked)]
         return sorted(out)
 
+    def unspaced(self, text: str) -> list[tuple[int, int]]:
+        """Names of person titles in ideographs, the longest at each place."""
+        out = []
+        for run in _IDEOGRAPHS.finditer(text):
+            i, end = run.span()
+            while i < end - 1:
+                z = next((z for z in range(min(end, i + 4), i + 1, -1) if _holds(self.whole, _word_hash(text[i:z]))), 0)
+                if z:
+                    out.append((i, z))
+                i = z or i + 1
+        return out
+
     def _info(self, token: str) -> tuple[str, bool, float, bool]:
         """(plain form, given name, log odds of a family name, may begin a name), remembered."""
         found = self.seen.get(token)
@@ -383,6 +400,9 @@ def _trim(found: str) -> str:
 
 
 _BLANK = re.compile(_S)
+#: A run of ideographs, and a title that is a name of two to four of them.
+_IDEOGRAPHS = re.compile(r"[\u4e00-\u9fff]{2,}")
+UNSPACED = r"^[\u4e00-\u9fff]{2,4}$"
 _COMMA = re.compile(rf",{_S}")
 _HONORS = {"Dr", "Prof", "Professor", "Mr", "Mrs", "Ms", "Mx", "Miss", "Herr", "Frau", "Mme"}
 _TITLED = re.compile(rf"{_HONOR}\b")
@@ -469,10 +489,17 @@ def finder(pages: DataFrame, shorts: DataFrame, texts: DataFrame | None = None)
                     out.append((_word_hash(word), bool(plain)))
             yield pd.DataFrame(out, columns=["mark", "plain"])
 
+    unspaced = people.where(F.col("title").rlike(UNSPACED)).select(F.col("title").alias("word")).distinct()
+
+    def hashed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield pd.DataFrame({"mark": [_word_hash(w) for w in frame["word"]]}, dtype="int64")
+
+    whole = np.sort(unspaced.mapInPandas(hashed, "mark bigint").toPandas()["mark"].to_numpy(dtype=np.int64))
     marks = words.select("word", "plain").mapInPandas(misjudged, "mark bigint, plain boolean").toPandas()
     plain = marks["plain"].astype(bool)
     families.known, families.ordinary = (np.sort(marks["mark"][which].to_numpy(dtype=np.int64)) for which in (~plain, plain))
-    return Finder(given, families)
+    return Finder(given, families, whole)
 
 
 def _sampled(df: DataFrame, key: str, most: int) -> DataFrame:

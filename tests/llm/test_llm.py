@@ -467,6 +467,18 @@ def test_names_and_ordinary_words_outside_the_samples_are_known(spark, monkeypat
     assert small.find("we heard that Undercroft moved") == [] and small.find("the Harbour moved") == []
 
 
+def test_names_in_other_scripts(spark):
+    givens, families = ("Иван", "Ольга", "Γιώργος"), ("Петров", "Сидоров", "Παπαδόπουλος", "Кузнецов")
+    people = [(i, "person", f"people/{i}", f"{g} {f}", None) for i, (g, f) in enumerate(itertools.product(givens, families))] + [(90, "person", "people/w", "王小明", None), (91, "person", "people/l", "李娜", None)]
+    bodies = [(1000 + i, "note", "n", "t", "Встреча прошла. Договор готов. 会议 已经 结束.") for i in range(30)]
+    df = spark.createDataFrame(people + bodies, "id int, type string, slug string, title string, compiled_truth string")
+    fit = pii.finder(df, spark.createDataFrame([], "given string, short_form string"))
+    text = "Встреча: Иван Петров и Ольга Сидоров. 昨天王小明和李娜开会了。 Γιώργος Παπαδόπουλος"
+    assert {text[a:z] for a, z, k in fit.find(text)} == {"Иван Петров", "Ольга Сидоров", "王小明", "李娜", "Γιώργος Παπαδόπουλος"}
+    new = pii.Surrogates(b"k").value("name", "王小明")
+    assert len(new) == 3 and not set(new) & set("王")
+
+
 CASES = [
     ("Ask Thomas Gazekicroft's team in Tilmouth.", {("name", "Thomas Gazekicroft")}), ("Dr. Gazekicroft met Rizobauer, Ulrike today", {("name", "Gazekicroft"), ("name", "Rizobauer, Ulrike")}),
     ("T. Tovekazu and CHLOÉ KELIKAZU agreed", {("name", "T. Tovekazu"), ("name", "CHLOÉ KELIKAZU")}), ("Lunch with Yusuf, Tom and Stephen N. de la Rizobauer", {("name", "Yusuf"), ("name", "Tom"), ("name", "Stephen N. de la Rizobauer")}),
