@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import extensions, packs
 from .functions import scores, strings, text
 from .operators import fulltext, graph, hybrid, measures, pages as page_ops, search, series, walks, writes
 from .operators.hierarchy import descendants, hierarchy
@@ -634,3 +635,96 @@ def code_languages(store: Store) -> DataFrame:
 def raw_sql(store: Store, statement: str, tables: list[str], args: dict | None = None) -> DataFrame:
     """A parameterised statement over named tables of the store."""
     return store.spark.sql(statement, args=args or {}, **{t: store[t] for t in tables})
+
+
+# --- status, upkeep and packs -----------------------------------------------------------------------
+
+
+@operation("read")
+def get_identity(store: Store) -> DataFrame:
+    """One row: pages, sources and the newest change."""
+    rows = _pages(store, "updated_at").where("deleted_at IS NULL")
+    return rows.agg(F.countDistinct("id").alias("pages"), F.countDistinct("source_id").alias("sources"), F.max("updated_at").alias("newest"))
+
+
+@operation("read")
+def get_status_snapshot(store: Store, now: str, days: int = 30) -> DataFrame:
+    """(what, n): pages, sources not synced for some days, jobs by status."""
+    pages = _pages(store).where("deleted_at IS NULL").select(F.lit("pages").alias("what"))
+    behind = F.col("last_sync_at").isNull() | (F.col("last_sync_at") < F.to_timestamp_ntz(F.lit(now)) - F.expr(f"INTERVAL {days} DAY"))
+    sources = store["sources"].where(~F.coalesce("archived", F.lit(False))).agg(F.count_if(behind).alias("n")).select(F.lit("sources behind").alias("what"), "n")
+    jobs = store["minion_jobs"].groupBy("id").agg(F.max_by("status", F.struct("updated_at", "status")).alias("s")).select(F.concat(F.lit("jobs "), "s").alias("what"))
+    return pages.union(jobs).groupBy("what").agg(F.count("*").alias("n")).union(sources)
+
+
+@operation("read")
+def run_doctor(store: Store) -> DataFrame:
+    """(fault, n): what is amiss in the tables."""
+    pages = store["pages"].select("id").distinct()
+    hashes = store["pages"].where(F.col("compiled_truth").isNotNull() & ~F.lower("content_hash").eqNullSafe(F.sha2("compiled_truth", 256))).select("id").distinct()
+    parts = {
+        "unembedded chunks": store["content_chunks"].where("embedding IS NULL").select("id").distinct(), "stale hashes": hashes,
+        "links to nowhere": graph.edges(store["links"]).join(pages.toDF("dst"), "dst", "left_anti"), "chunks of no page": store["content_chunks"].select("id", "page_id").distinct().join(pages.toDF("page_id"), "page_id", "left_anti"),
+    }
+    out = None
+    for fault, df in parts.items():
+        part = df.agg(F.count("*").alias("n")).select(F.lit(fault).alias("fault"), "n")
+        out = part if out is None else out.union(part)
+    return out
+
+
+@operation("read")
+def get_calibration_profile(store: Store, holder: str) -> DataFrame:
+    return measures.scorecard(store["claims"].where(F.col("holder") == holder), ["domain"])
+
+
+@operation("read")
+def get_recent_transcripts(store: Store, since: str, limit: int = 20) -> DataFrame:
+    rows = store["documents"].where(F.col("kind").isin("chat", "meeting") & (F.col("created_at") >= F.to_timestamp_ntz(F.lit(since))))
+    return rows.orderBy(F.desc("created_at"), "doc_id").limit(_limit(limit)).select("doc_id", "title", "created_at", F.substring("text", 1, 240).alias("synopsis"))
+
+
+@operation("read")
+def extract_facts(store: Store, extract: Callable, kind: str | None = None) -> DataFrame:
+    """(doc_id, kind, value): what a plugged-in extractor finds in the texts of a kind."""
+    rows = store["documents"] if kind is None else store["documents"].where(F.col("kind") == kind)
+    return extensions.extracted(rows.select("doc_id", "text"), "doc_id", "text", extract)
+
+
+@operation("read")
+def search_by_vector(store: Store, vector: list[float], column: str = "embedding", limit: int = 20) -> DataFrame:
+    """Pages by their chunk nearest to a vector, in any vector column the chunks have."""
+    chunks = store["content_chunks"]
+    if column not in chunks.columns:
+        raise ValueError(f"no vector column {column}")
+    rows = chunks.select("id", "page_id", "chunk_source", F.col(column).alias("embedding")).dropDuplicates(["id"])
+    return hybrid.vector_arm(rows, _live(store), vector, _limit(limit))
+
+
+@operation("write")
+def sync(store: Store, new: DataFrame, gone: DataFrame) -> Store:
+    """A source after a change set: new pages are upserted by (source_id, slug), gone ones leave."""
+    key = ["source_id", "slug"]
+    return store.having(pages=page_ops.upserted(writes.deleted(store["pages"], gone, key), writes.one_per_key(new, key), key))
+
+
+@operation("write")
+def schema_apply(store: Store, pack: packs.Pack) -> Store:
+    """Pages after a pack: types by any of its names become its own, untyped pages get that of their prefix."""
+    kind = F.coalesce(pack.canonical(F.col("type")), pack.type_of(F.col("slug")))
+    return store.having(pages=store["pages"].withColumn("type", kind))
+
+
+@operation("read")
+def get_pack(store: Store, pack: packs.Pack = packs.DEFAULT) -> DataFrame:
+    """(type, prefix): the types of a pack with their prefixes."""
+    return store.spark.createDataFrame([(t.name, p) for t in pack.types for p in t.prefixes], "type string, prefix string")
+
+
+@operation("write")
+def set_jobs(store: Store, ids: list[int], status: str, now: str = "2026-01-01 00:00:00") -> Store:
+    """Some jobs get a status; older snapshots of them leave."""
+    jobs = store["minion_jobs"]
+    best = F.max_by(F.struct(*[c for c in jobs.columns if c != "id"]), F.struct("updated_at", "status")).alias("j")
+    latest = jobs.groupBy("id").agg(best).select("id", "j.*").select(*jobs.columns)
+    return store.having(minion_jobs=writes.updated_where(latest, F.col("id").isin(ids), status=F.lit(status), updated_at=F.to_timestamp_ntz(F.lit(now))))
