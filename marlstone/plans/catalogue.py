@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import hierarchy
 from ..session import materialize
 from ..sources.tables import table
-from . import documents, extras, graphs, knowledge, lookups, measures, operations, parsing, rankings, searching, streams, texts, writes  # noqa: F401 - they register their queries
+from . import documents, extras, forms, graphs, knowledge, lookups, measures, operations, parsing, rankings, searching, streams, texts, writes  # noqa: F401 - they register their queries
 from .registry import ORACLES, QUERIES
 
 FLAGSHIP = "hybrid_full"
