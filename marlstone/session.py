@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -48,9 +49,11 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that outlives executors: spark.checkpoint.dir, or (only where that is unset, as in tests) a temporary one."""
+    """The folder that outlives executors: spark.checkpoint.dir, or (only where that is unset and all runs in one process, as in tests) a temporary one."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("a cluster needs a shared folder: set spark.checkpoint.dir")
         found = "file://" + tempfile.mkdtemp(prefix="marlstone-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found
