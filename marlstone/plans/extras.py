@@ -142,13 +142,17 @@ def pages_as_aliases(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select(F.col("id").alias("page_id"), F.col("slug").alias("alias"), F.regexp_replace("slug", "^[^/]+/", "").alias("stands_for"))
 
 
-@query("SELECT a.tag AS a, b.tag AS b FROM (SELECT DISTINCT tag FROM " + _TAGS + ") a JOIN (SELECT DISTINCT tag FROM " + _TAGS + ") b ON left(a.tag, 2) = left(b.tag, 2) AND a.tag < b.tag UNION SELECT b.tag, a.tag FROM (SELECT DISTINCT tag FROM " + _TAGS + ") a JOIN (SELECT DISTINCT tag FROM " + _TAGS + ") b ON left(a.tag, 2) = left(b.tag, 2) AND a.tag < b.tag")
+_STAR = f"(SELECT min(tag) OVER (PARTITION BY left(tag, 2)) AS a, tag AS b FROM (SELECT DISTINCT tag FROM {_TAGS}))"
+
+
+@query(f"SELECT a, b FROM {_STAR} WHERE a <> b UNION SELECT b, a FROM {_STAR} WHERE a <> b")
 def alias_graph(spark: SparkSession, folder: str) -> DataFrame:
-    """A symmetric graph of aliases."""
+    """A symmetric graph of aliases: each tag is one of the first tag with its two first letters."""
     from .writes import tag_rows
 
     tags = tag_rows(spark, folder).select("tag").distinct().withColumn("k", F.substring("tag", 1, 2))
-    one = tags.select(F.col("tag").alias("src"), "k").join(tags.select(F.col("tag").alias("dst"), "k"), "k").where("src < dst").select("src", "dst")
+    first = tags.groupBy("k").agg(F.min("tag").alias("src"))
+    one = tags.join(first, "k").where("src <> tag").select("src", F.col("tag").alias("dst"))
     return walks.both_ways(one).select(F.col("src").alias("a"), F.col("dst").alias("b")).distinct()
 
 

@@ -178,14 +178,15 @@ def lines_to_chunks(spark: SparkSession, folder: str) -> DataFrame:
     return walks.held_in(asked, spans, "page_id")
 
 
-@query(f"""WITH RECURSIVE t AS (SELECT DISTINCT unnest(from_json(json_extract(frontmatter, '$.tags'), '["VARCHAR"]')) AS tag FROM pages), a AS (SELECT a.tag AS x, b.tag AS y FROM t a JOIN t b ON left(a.tag, 3) = left(b.tag, 3) AND a.tag <> b.tag),
+@query(f"""WITH RECURSIVE t AS (SELECT DISTINCT unnest(from_json(json_extract(frontmatter, '$.tags'), '["VARCHAR"]')) AS tag FROM pages), s AS (SELECT min(tag) OVER (PARTITION BY left(tag, 3)) AS x, tag AS y FROM t), a AS (SELECT x, y FROM s WHERE x <> y UNION SELECT y, x FROM s WHERE x <> y),
 w AS (SELECT tag AS seed, tag AS node, 0 AS hop FROM t UNION SELECT w.seed, a.y, w.hop + 1 FROM w JOIN a ON a.x = w.node WHERE w.hop < 2) SELECT seed, array_to_string(list_sort(list(DISTINCT node)), ',') AS closure FROM w GROUP BY 1""")
 def alias_closure(spark: SparkSession, folder: str) -> DataFrame:
     """What each alias reaches over a symmetric alias graph in two steps."""
     from .writes import tag_rows
 
     tags = tag_rows(spark, folder).select("tag").distinct().withColumn("k", F.substring("tag", 1, 3))
-    edges = tags.select(F.col("tag").alias("src"), "k").join(tags.select(F.col("tag").alias("dst"), "k"), "k").where("src <> dst").withColumn("link_type", F.lit("alias"))
+    first = tags.groupBy("k").agg(F.min("tag").alias("src"))
+    edges = walks.both_ways(tags.join(first, "k").where("src <> tag").select("src", F.col("tag").alias("dst"))).select("src", "dst", F.lit("alias").alias("link_type"))
     met = walks.reach(tags.select(F.col("tag").alias("id")), edges, 2)
     return met.groupBy("seed").agg(F.array_join(F.array_sort(F.collect_set("node")), ",").alias("closure"))
 

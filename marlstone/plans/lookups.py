@@ -126,17 +126,18 @@ def orphan_candidates(spark: SparkSession, folder: str) -> DataFrame:
     return rows.where(~F.col("slug").rlike("(^|/)(index|readme|_[^/]*)$")).select("id").distinct()
 
 
-@query(f"""SELECT c.id, min(t.tag) AS hint FROM {_CL} c LEFT JOIN (SELECT DISTINCT tag FROM {_TAGS}) t ON contains(lower(c.claim), lower(t.tag)) WHERE c.weight > 0.7 AND c.active GROUP BY 1""")
+_RUN = "' ' || array_to_string(regexp_extract_all(lower({}), '([\\p{{L}}\\p{{N}}]+)', 1), ' ') || ' '"
+
+
+@query(f"""SELECT c.id, min(t.tag) AS hint FROM {_CL} c LEFT JOIN (SELECT DISTINCT tag FROM {_TAGS} WHERE len(regexp_extract_all(lower(tag), '([\\p{{L}}\\p{{N}}]+)', 1)) BETWEEN 1 AND 4) t ON contains({_RUN.format('c.claim')}, {_RUN.format('t.tag')}) WHERE c.weight > 0.7 AND c.active GROUP BY 1""")
 def hinted_claims(spark: SparkSession, folder: str) -> DataFrame:
-    """The first tag that stands in each weighty claim: a theta join against a small list, as a check of its words and runs.
-
-    Tags are words or runs of words joined by hyphens, so a claim holds a tag exactly where one of its
-    substrings is it; the tags are a bounded vocabulary, tested as an array.
-    """
-    tags = tag_rows(spark, folder).select("tag").distinct()
-    listed = tags.orderBy("tag").agg(F.array_sort(F.collect_list("tag")).alias("tags"))
-    rows = derived(spark, folder, "claims").where("weight > 0.7 AND active").select("id", F.lower("claim").alias("c"))
-    return rows.crossJoin(listed).select("id", F.try_element_at(F.filter("tags", lambda t: F.contains(F.col("c"), F.lower(t))), F.lit(1)).alias("hint"))  # one row
+    """The first tag whose words stand in each weighty claim: a dictionary join on runs of up to four words."""
+    words = lambda c: F.regexp_extract_all(F.lower(c), F.lit(r"([\p{L}\p{N}]+)"), 1)
+    tags = tag_rows(spark, folder).select("tag", words(F.col("tag")).alias("w")).where("size(w) BETWEEN 1 AND 4").groupBy(F.array_join("w", " ").alias("run")).agg(F.min("tag").alias("tag"))
+    rows = derived(spark, folder, "claims").where("weight > 0.7 AND active").select("id", words(F.col("claim")).alias("w"))
+    runs = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(4)), lambda n: F.transform(F.filter(F.sequence(F.lit(1), F.greatest(F.size("w"), F.lit(1))), lambda i: i + n - 1 <= F.size("w")), lambda i: F.array_join(F.slice("w", i, n), " "))))
+    met = rows.select("id", F.explode(F.array_distinct(runs)).alias("run")).join(tags, "run").groupBy("id").agg(F.min("tag").alias("hint"))
+    return rows.select("id").join(met, "id", "left")
 
 
 @query("""SELECT a.id FROM (SELECT DISTINCT id, substring(coalesce(content_hash, ''), 1, 16) AS k FROM pages) a WHERE NOT EXISTS (SELECT 1 FROM pages b WHERE b.id % 3 = 0 AND substring(coalesce(b.content_hash, ''), 1, 16) = a.k)""")
