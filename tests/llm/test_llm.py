@@ -394,6 +394,18 @@ def test_filled(spark):
     assert packing.filled(df.limit(0), limits).count() == 0
 
 
+def test_audits_tell_faults(spark):
+    text = sentence(random.Random(3), 60)
+    df = spark.createDataFrame([(1, text, "s"), (2, text, "s"), (3, "other words", "s")], "doc_id bigint, text string, source string")
+    limits = spark.createDataFrame([(1, "a", 100)], "limit_id int, label string, capacity_tokens int")
+    bins = spark.createDataFrame([(1, 0, 1, 0, 60), (1, 0, 2, 0, 60), (1, 1, 3, 0, 1), (1, 2, 3, 1, 1)], "limit_id int, bin_id bigint, doc_id bigint, piece int, tokens bigint")
+    assert tuple(packing.audit(bins, df, limits).first()) == (1, 3, 1, 1, 1)
+    pages = spark.createDataFrame([(1, "word " * 500)], "id int, compiled_truth string")
+    made = spark.createDataFrame([(1, 0, 0, 1000, ("word " * 500)[:1000], 1), (1, 2, 1000, 2502, ("word " * 500)[1001:2500], 1)], "id int, chunk_index int, start bigint, end bigint, chunk_text string, token_count int")
+    got = chunking.audit(pages, made).first()
+    assert (got["texts"], got["chars"], got["broken"], got["miscounted"]) == (1, 2502, 1, 1)
+
+
 # --- shared spans (p10) ---
 
 
