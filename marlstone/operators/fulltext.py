@@ -119,6 +119,68 @@ def search(df: DataFrame, text: str, fields: Mapping[str, str]) -> DataFrame:
     return found.drop(*[f"__{c}" for c in fields])
 
 
+def postings(df: DataFrame, key: str, fields: Mapping[str, str]) -> DataFrame:
+    """(term, key, weight, positions): the inverted index of some fields, to be stored by term and asked many times.
+
+    Words are combined by (term, key, weight) before and after the shuffle; a hot term is many rows.
+    """
+    out = None
+    for column, weight in fields.items():
+        part = df.select(key, F.lit(weight).alias("weight"), F.posexplode(stems(F.col(column))).alias("at", "term"))
+        out = part if out is None else out.unionByName(part)
+    return out.groupBy("term", key, "weight").agg(F.array_sort(F.collect_set("at")).alias("positions"))
+
+
+def search_postings(index: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, rank): what ``search`` gives, from an index: only the rows of the words asked for are read.
+
+    Words of a phrase follow each other inside one weight class.
+    """
+    query = parse(text)
+    rows = index.where(F.col("term").isin([*query.words, *query.without]))
+    if not query.words:
+        return rows.select(key, F.lit(0.0).alias("rank")).limit(0)
+    each = rows.groupBy(key, "weight").agg(F.map_from_entries(F.collect_list(F.struct("term", "positions"))).alias("m"))
+    none = F.expr("CAST(array() AS array<int>)")
+    at = lambda word: F.coalesce(F.element_at("m", word), none)
+    rank = F.lit(0.0)
+    for word in query.words:
+        n = F.size(at(word)).cast("double")
+        rank = rank + n / (n + 1)
+    classes = F.lit(0.0)
+    for name, value in WEIGHTS.items():
+        classes = F.when(F.col("weight") == name, value).otherwise(classes)
+    found = {f"w{i}": F.max(F.size(at(word)) > 0).alias(f"w{i}") for i, word in enumerate([*query.words, *query.without])}
+    runs = []
+    for i, phrase in enumerate(query.phrases):
+        runs.append(F.max(F.exists(at(phrase[0]), _follows(at, phrase))).alias(f"p{i}"))
+    told = each.groupBy(key).agg(F.sum(rank * classes).alias("rank"), *found.values(), *runs)
+    place = {word: f"w{i}" for i, word in enumerate([*query.words, *query.without])}
+    keep = F.lit(True)
+    for group in query.every:
+        any_of = F.lit(False)
+        for word in group:
+            any_of = any_of | F.col(place[word])
+        keep = keep & any_of
+    for i in range(len(query.phrases)):
+        keep = keep & F.col(f"p{i}")
+    for word in query.without:
+        keep = keep & ~F.col(place[word])
+    return told.where(keep).select(key, (F.col("rank") / len(query.words)).alias("rank"))
+
+
+def _follows(at, phrase: list[str]):
+    """Whether the other words of a phrase follow a position of the first."""
+
+    def test(x: Column) -> Column:
+        out = F.lit(True)
+        for n, word in enumerate(phrase[1:], 1):
+            out = out & F.array_contains(at(word), x + n)
+        return out
+
+    return test
+
+
 def stem_sql(text: str) -> str:
     """The same stems in SQL, for the queries' checks."""
     out = "w"

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scores
 from ..operators import fulltext, graph, hybrid, search
+from ..session import materialize
 from ..sources.tables import table
 from .derived import derived, sql
 from .knowledge import _E, _LIVE, NOW, _chunks, _live, _pages
@@ -69,6 +70,21 @@ def phrase_search(spark: SparkSession, folder: str) -> DataFrame:
     return fulltext.search(_pages(spark, folder, "compiled_truth"), _PHRASE, {"compiled_truth": "B"}).select("id")
 
 
+@query(f"SELECT id, round(score, 6) AS score FROM {_HITS}")
+def indexed_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The same chunks from an inverted index that is written first."""
+    index = materialize(fulltext.postings(_chunks(spark, folder, "chunk_text"), "id", {"chunk_text": "B"}))
+    return fulltext.search_postings(index, "id", ASKED).select("id", F.round("rank", 6).alias("score"))
+
+
+@query(f"""SELECT id FROM (SELECT DISTINCT id, {fulltext.stem_sql("compiled_truth")} AS s FROM pages) WHERE (list_contains(s, 'budget') OR list_contains(s, 'runway'))
+AND contains(' ' || array_to_string(s, ' ') || ' ', ' {" ".join(fulltext.parse(_PHRASE).phrases[0])} ') AND NOT list_contains(s, '{fulltext.parse(_PHRASE).without[0]}')""")
+def indexed_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    """Alternatives, a phrase and an exclusion from the positions of an index."""
+    index = fulltext.postings(_pages(spark, folder, "compiled_truth"), "id", {"compiled_truth": "B"})
+    return fulltext.search_postings(index, "id", _PHRASE).select("id")
+
+
 _W = fulltext.parse("weekly review").words
 
 

@@ -24,6 +24,15 @@ def test_fulltext_search(spark):
     assert fulltext.search(df, "", {"title": "A"}).count() == 0
 
 
+def test_an_index_gives_what_the_scan_gives(spark):
+    texts = ["Weekly budgets and plans", "the plan of the weekly budget", "budget", "a weekly plan without it", None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    index = fulltext.postings(df, "id", {"t": "B"})
+    for asked in ("weekly budget", '"weekly budget"', "budget or weekly -plan", "plans", "nothing", ""):
+        one = sorted((r["id"], round(r["rank"], 6)) for r in fulltext.search(df, asked, {"t": "B"}).collect())
+        assert one == sorted((r["id"], round(r["rank"], 6)) for r in fulltext.search_postings(index, "id", asked).collect())
+
+
 def test_unlike_keeps_the_better_of_two_alike(spark):
     text = "one two three four five six seven eight nine ten"
     df = spark.createDataFrame([(1, 1.0, text), (2, 0.9, text.upper()), (3, 0.8, "other words"), (4, 0.7, None)], "id int, score double, t string")
