@@ -106,17 +106,25 @@ def pack(sizes: np.ndarray, sources: np.ndarray, clusters: np.ndarray, capacity:
     return pd.DataFrame(out, columns=["item", "piece", "tokens", "bin"])
 
 
+def classes(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(k, class): each text with enough words and the class of near-duplicates it belongs to."""
+    members, pairs = neardup.similar(df, key, text)
+    members = materialize(members)
+    linked = components(materialize(pairs)).toDF("rep", "class")
+    return members.join(linked, "rep", "left").select("k", F.coalesce("class", "rep").alias("class"))
+
+
 def filled(
-    df: DataFrame, limits: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", vocabulary: str | None = None
+    df: DataFrame, limits: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", vocabulary: str | None = None, grouped: DataFrame | None = None
 ) -> DataFrame:
-    """(limit_id, bin_id, key, piece, tokens): the container of each text, or of each piece of a larger one."""
+    """(limit_id, bin_id, key, piece, tokens): the container of each text, or of each piece of a larger one.
+
+    ``grouped`` gives the ``classes`` of the texts where they are known.
+    """
     kind = df.schema[key].dataType.simpleString()
     counted = token_counts(df.select(F.col(key).alias("k"), F.col(source).alias("s"), F.col(text).alias("t")), "t", "tokens", vocabulary, ("k", "s"))
     sizes = materialize(counted.groupBy("k").agg(F.max(F.struct("tokens", "s")).alias("one")).select("k", "one.*"))
-    members, pairs = neardup.similar(df, key, text)
-    members = materialize(members)
-    linked = components(materialize(pairs)).toDF("rep", "class")
-    grouped = members.join(linked, "rep", "left").select("k", F.coalesce("class", "rep").alias("class"))
+    grouped = classes(df, key, text) if grouped is None else grouped
     several = grouped.groupBy("class").agg(F.count("*").alias("n")).where("n > 1").select("class")
     clusters = grouped.join(several, "class").select("k", F.col("class").alias("cluster"))
     share = max(1, -(-sizes.count() // SHARE))
@@ -147,7 +155,7 @@ def filled(
     return items.groupBy("limit_id", "part").applyInPandas(fill, schema).withColumnRenamed("k", key)
 
 
-def audit(bins: DataFrame, df: DataFrame, limits: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def audit(bins: DataFrame, df: DataFrame, limits: DataFrame, key: str = "doc_id", text: str = "text", grouped: DataFrame | None = None) -> DataFrame:
     """(limit_id, items, overfull, torn, together): what must hold of filled bins.
 
     overfull: bins above the capacity; torn: items in several pieces that would fit whole; together:
@@ -159,10 +167,7 @@ def audit(bins: DataFrame, df: DataFrame, limits: DataFrame, key: str = "doc_id"
     full = full.groupBy("limit_id").agg(F.count_if(F.col("tokens") > F.col("capacity_tokens")).alias("overfull"))
     items = bins.groupBy("limit_id", key).agg(F.sum("tokens").alias("tokens"), F.count("*").alias("pieces")).join(capacity, "limit_id")
     items = items.groupBy("limit_id").agg(F.count("*").alias("items"), F.count_if((F.col("pieces") > 1) & (F.col("tokens") <= F.col("capacity_tokens"))).alias("torn"))
-    members, pairs = neardup.similar(df, key, text)
-    members = materialize(members)
-    links = components(materialize(pairs)).toDF("rep", "class")
-    classes = members.join(links, "rep", "left").select(F.col("k").alias(key), F.coalesce("class", "rep").alias("class"))
-    shared = bins.select("limit_id", "bin_id", key).distinct().join(classes, key).groupBy("limit_id", "bin_id", "class").agg(F.count("*").alias("n"))
+    known = (classes(df, key, text) if grouped is None else grouped).withColumnRenamed("k", key)
+    shared = bins.select("limit_id", "bin_id", key).distinct().join(known, key).groupBy("limit_id", "bin_id", "class").agg(F.count("*").alias("n"))
     shared = shared.groupBy("limit_id").agg(F.sum(F.expr("n * (n - 1) div 2")).alias("together"))
     return items.join(full, "limit_id").join(shared, "limit_id", "left").select("limit_id", "items", "overfull", "torn", F.coalesce("together", F.lit(0)).cast("bigint").alias("together"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import vectors
+from ..session import materialize
 from ..sources.tables import table
 from . import chunking, emails, knn, names, neardup, packing, pii, spans, sql, tokens
 
@@ -116,7 +117,8 @@ def p9_bins(spark: SparkSession, folder: str) -> DataFrame:
 def p9_audit(spark: SparkSession, folder: str) -> DataFrame:
     """Whether the containers of p9_bins hold every document, none above its capacity, none cut in vain and no near-duplicates together."""
     documents, limits = table(spark, folder, "documents"), table(spark, folder, "pack_limits")
-    return packing.audit(packing.filled(documents, limits), documents, limits)
+    grouped = materialize(packing.classes(documents))  # the same classes whoever asks
+    return packing.audit(packing.filled(documents, limits, grouped=grouped), documents, limits, grouped=grouped)
 
 
 def p10_found(spark: SparkSession, folder: str) -> DataFrame:
