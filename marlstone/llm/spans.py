@@ -9,15 +9,18 @@ first and the last symbol it owns of the highest kept level, down to single char
 window has one, and only windows whose anchors stand in two texts can be shared. Those windows' own
 hashes are then compared in the same manner, and runs of shared windows make the spans.
 
-Both comparisons send (hash, text, windows) packed by hash bucket. Before that, each slice of texts
-settles the hashes that two of its own texts hold and sends one witness of them, so that a string
-that stands in a third of all texts costs one entry for each slice.
+Both comparisons send (hash, text, windows) packed by hash bucket; the buckets' number follows the
+entries, so that none outgrows a task. Before that, each slice of texts settles the hashes that two of
+its own texts hold: their windows pass by as intervals, and one witness of each hash is sent, so that a
+string that stands in a third of all texts costs one entry for each slice. A text that is wholly
+another's is shared from end to end; of such texts, one sends its windows for all.
 
 Defined results
 - Null, empty and short texts share nothing; blank text counts like any other; texts are whole.
 - Repeats inside one text alone are not shared. Repeated rows of a key count once; if texts of one
   key differ, all of them count as its text. Keys are whole numbers; rows without key are left out.
-- Equality is that of 64-bit hashes of the windows, after equality of their anchors.
+- Equality is that of 64-bit hashes of the windows, after equality of their anchors; whole texts are
+  equal if their lengths and 128-bit hashes are.
 """
 
 from __future__ import annotations
@@ -30,12 +33,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 _U = np.uint64
 _ODD = [_U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 #: Pair rounds; after each, symbols are longer by a third. Before the rounds in RUNS, runs are named.
 ROUNDS, RUNS, KEPT = 12, (0, 4), (12, 9, 6, 3, 0)
-#: Characters of a slice, and of a bucket on average.
-SLICE, BUCKET = 1_000_000, 6_000_000
+#: Characters of a slice, and of a bucket of anchors on average (an anchor stands for about 20); windows of a bucket.
+SLICE, BUCKET, WINDOWS = 1_000_000, 8_000_000, 1_000_000
 _FAR = np.int32(1 << 30)
 #: Odd factors whose product's highest bit is a symbol's coin, one for each round.
 _COINS = [_U((int(_ODD[2]) * (2 * i + 3)) % (1 << 64)) for i in range(ROUNDS)]
@@ -141,13 +146,22 @@ def anchors(codes: np.ndarray, bounds: np.ndarray, width: int) -> tuple[np.ndarr
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
-def window_hashes(codes: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
+#: Bases of two independent hashes of a window, and their powers and inverse powers as far as needed so far.
+_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    if base not in _POWERS or len(_POWERS[base][0]) <= n:
+        n = max(n, 1 << 16)
+        _POWERS[base] = tuple(np.cumprod(np.concatenate([[_U(1)], np.full(n, _U(x))])) for x in (base, pow(base, -1, 1 << 64)))
+    return _POWERS[base]
+
+
+def window_hashes(codes: np.ndarray, starts: np.ndarray, width: int, base: int = _BASES[0]) -> np.ndarray:
     """Hashes of the windows that begin at ``starts``; equal for equal windows of any text."""
-    base = 0x9E3779B97F4A7C15
-    n = len(codes)
-    power = np.cumprod(np.concatenate([[_U(1)], np.full(n, _U(base))]))
-    back = np.cumprod(np.concatenate([[_U(1)], np.full(n, _U(pow(base, -1, 1 << 64)))]))
-    sums = np.concatenate([[_U(0)], np.cumsum(_name((codes.astype(_U) + _U(1)) * _ODD[1]) * power[:n])])
+    power, back = _powers(base, len(codes))
+    sums = np.concatenate([[_U(0)], np.cumsum(_name((codes.astype(_U) + _U(1)) * _ODD[1]) * power[: len(codes)])])
     return _name((sums[starts + width] - sums[starts]) * back[starts])
 
 
@@ -170,9 +184,10 @@ def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _asked(hashes, docs, first, last, bucket, octets: int) -> Iterator[pa.RecordBatch]:
-    """Rows of one slice by bucket: ``octets`` bytes of each hash, packed (doc, first, last); settled ones apart.
+    """Rows of one slice by bucket: ``octets`` bytes of each hash, packed (doc, first, last).
 
-    A witness of a settled hash comes with last = first - 1.
+    The settled windows make one row, in a group of its own (a negative bucket), as intervals of each
+    text; a witness of a settled hash comes with last = first - 1.
     """
     if not len(hashes):
         return
@@ -187,13 +202,12 @@ def _asked(hashes, docs, first, last, bucket, octets: int) -> Iterator[pa.Record
     witness = np.zeros(len(hashes), dtype=bool)
     witness[order[begin[several]]] = True
     rows = []
-    for b, known, which, end in (
-        *((b, True, w, last) for b, w in _grouped(bucket, settled)),
-        *((b, False, w, np.where(witness, first - 1, last)) for b, w in _grouped(bucket, ~settled | witness)),
-    ):
+    if settled.any():
+        rows.append((-1 - int(ordered[0] >> _U(1)), True, b"", _packed(*_merged(docs[settled], first[settled], last[settled]))))
+    end = np.where(witness, first - 1, last)
+    for b, which in _grouped(bucket, ~settled | witness):
         which = which[np.lexsort((first[which], docs[which]))]
-        h = b"" if known else hashes[which].view(np.uint8).reshape(-1, 8)[:, :octets].tobytes()
-        rows.append((b, known, h, _packed(docs[which], first[which], end[which])))
+        rows.append((b, False, hashes[which].view(np.uint8).reshape(-1, 8)[:, :octets].tobytes(), _packed(docs[which], first[which], end[which])))
     yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["bucket", "known", "h", "at"])
 
 
@@ -206,12 +220,12 @@ def _grouped(bucket: np.ndarray, chosen: np.ndarray) -> Iterator[tuple[int, np.n
 
 
 _ASKED = "bucket bigint, known boolean, h binary, at binary"
-_RUNS = "doc bigint, bucket bigint, runs binary"
+_RUNS = "doc bigint, runs binary, n bigint"
 
 
 def _answers(octets: int):
     def answer(frame: pd.DataFrame) -> pd.DataFrame:
-        """(doc, bucket, runs) of the entries whose hash stands in two texts, of one bucket."""
+        """(doc, runs, their length) of the entries whose hash stands in two texts, of one bucket."""
         none = (np.array([], dtype=np.int64),) * 3
         gather = lambda rows: tuple(map(np.concatenate, zip(none, *map(_unpacked, rows))))
         asked = frame[~frame["known"]]
@@ -228,30 +242,35 @@ def _answers(octets: int):
             several = (np.minimum.reduceat(d, begin) != np.maximum.reduceat(d, begin)) | (np.minimum.reduceat(z - a, begin) < 0)
             shared = np.repeat(several, size) & (z > a)
             d, a, z = d[shared], a[shared], z[shared]
-        d, a, z = map(np.concatenate, zip((d, a, z), gather(frame["at"][frame["known"]])))
-        found = _by_doc(d, a, z)
-        found.insert(1, "bucket", frame["bucket"].iloc[0])
-        return found
+        return _by_doc(*map(np.concatenate, zip((d, a, z), gather(frame["at"][frame["known"]]))))
 
     return answer
 
 
 def _merge(a: np.ndarray, z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Union of intervals [a, z), touching ones made one."""
-    order = np.argsort(a, kind="stable")
-    a, z = a[order], np.maximum.accumulate(z[order])
-    new = np.concatenate([[True], a[1:] > z[:-1]])
-    return a[new], z[np.append(np.flatnonzero(new)[1:] - 1, len(a) - 1)]
+    return _merged(np.zeros(len(a), dtype=np.int64), a, z)[1:]
 
 
-def _by_doc(d: np.ndarray, a: np.ndarray, z: np.ndarray) -> pd.DataFrame:
-    order = np.argsort(d, kind="stable")
+def _merged(d: np.ndarray, a: np.ndarray, z: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same for the intervals of each text, ordered by text."""
+    if not len(d):
+        return d, a, z
+    order = np.lexsort((a, d))
     d, a, z = d[order], a[order], z[order]
-    docs, runs = [], []
-    for part in np.split(np.arange(len(d)), np.flatnonzero(np.diff(d)) + 1) if len(d) else []:
-        docs.append(d[part[0]])
-        runs.append(np.stack(_merge(a[part], z[part])).astype(np.int64).tobytes())
-    return pd.DataFrame({"doc": pd.Series(docs, dtype="int64"), "runs": runs})
+    base = np.cumsum(np.concatenate([[False], d[1:] != d[:-1]])) << 33  # one line, the texts far apart
+    a, z = a + base, np.maximum.accumulate(z + base)
+    new = np.flatnonzero(np.concatenate([[True], a[1:] > z[:-1]]))
+    base = base[new]
+    return d[new], a[new] - base, z[np.append(new[1:] - 1, len(a) - 1)] - base
+
+
+def _by_doc(d: np.ndarray, a: np.ndarray, z: np.ndarray) -> pd.DataFrame:
+    d, a, z = _merged(d, a, z)
+    begin = np.flatnonzero(np.concatenate([[True], d[1:] != d[:-1]])) if len(d) else np.array([], dtype=np.int64)
+    both, end = np.stack([a, z]).astype(np.int64), np.append(begin[1:], len(d))
+    n = np.add.reduceat(z - a, begin) if len(d) else begin
+    return pd.DataFrame({"doc": d[begin].astype(np.int64), "runs": [both[:, i:j].tobytes() for i, j in zip(begin, end)], "n": n.astype(np.int64)})
 
 
 def _unpack(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -259,10 +278,25 @@ def _unpack(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return _merge(*np.concatenate(parts, axis=1))
 
 
+def _copies(rows: DataFrame) -> tuple[DataFrame, int, bool]:
+    """(doc, n, stands) of the texts that are wholly another key's, n their length; all characters; whether keys leave room for a bit.
+
+    One key of each such text stands for it. Keys with differing texts take no part in this.
+    """
+    whole = materialize(rows.select("doc", F.unhex(F.md5("t")).alias("same"), F.length("t").alias("n")).distinct())
+    total, least, most = whole.agg(F.sum("n"), F.min("doc"), F.max("doc")).first()
+    single = whole.groupBy("doc").agg(F.count("*").alias("texts"), F.first("same").alias("same"), F.first("n").alias("n")).where("texts = 1").drop("texts")
+    stand = single.groupBy("same", "n").agg(F.min("doc").alias("one"), F.max("doc").alias("other")).where("one <> other")
+    copies = single.join(stand.hint("merge"), ["same", "n"]).select("doc", "n", (F.col("doc") == F.col("one")).alias("stands"))
+    return materialize(copies), total or 0, total is None or max(-least, most) < 1 << 62
+
+
 def shared_spans(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 200) -> DataFrame:
     """(key, span_start, span_end): maximal runs of characters in windows that also stand in another text."""
     rows = df.select(F.col(key).cast("bigint").alias("doc"), F.col(text).cast("string").alias("t")).where(f"doc IS NOT NULL AND length(t) >= {width}")
-    total = rows.agg(F.sum(F.length("t"))).first()[0] or 0
+    copies, total, room = _copies(rows)
+    if not room:
+        copies = copies.limit(0)
     buckets = max(8, -(-total // BUCKET))
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,15 +323,19 @@ def shared_spans(df: DataFrame, key: str = "doc_id", text: str = "text", width:
                     codes.append(whole[begin : begin + SLICE + width - 1])
                     docs.append(doc), begins.append(begin)
                     held += len(codes[-1])
-                    if held >= SLICE:
+                    if held >= 4 * SLICE:
                         yield from flush()
                         codes, docs, begins, held = [], [], [], 0
         if codes:
             yield from flush()
 
     candidates = rows.mapInArrow(name, _ASKED).groupBy("bucket").applyInPandas(_answers(6), _RUNS)
-    chosen = candidates.groupBy("doc").agg(F.collect_list(F.struct("bucket", "runs")).alias("runs"))
-    read = rows.join(chosen.hint("merge"), "doc").select("doc", "t", "runs")
+    chosen = candidates.groupBy("doc").agg(F.collect_list("runs").alias("runs"), F.sum("n").alias("n"))
+    # the one that stands for copies is another text than that of its key: its windows are shared wherever they are met
+    chosen = chosen.join(copies.select("doc", "stands").hint("merge"), "doc", "left").where("coalesce(stands, true)")
+    chosen = materialize(chosen.select("doc", "runs", "n", (F.col("doc") * 2 + F.col("stands").isNotNull().cast("int") if room else F.col("doc")).alias("name")))
+    homes = max(8, -(-(chosen.agg(F.sum("n")).first()[0] or 0) // WINDOWS))
+    read = rows.join(chosen.hint("merge"), "doc").select("name", "t", "runs")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush():
@@ -305,25 +343,21 @@ def shared_spans(df: DataFrame, key: str = "doc_id", text: str = "text", width:
 
         h, d, s, g, held = [], [], [], [], 0
         for batch in batches:
-            for doc, t, answers in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for doc, t, runs in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 whole = _codes(t)
-                runs = [np.frombuffer(x["runs"], dtype=np.int64).reshape(2, -1) for x in answers]
-                home = np.repeat([x["bucket"] for x in answers], [r.shape[1] for r in runs])
-                a, z = np.concatenate(runs, axis=1)
+                a, z = _unpack(runs)
                 z = np.minimum(z, len(whole) - width + 1)  # texts of one key may differ
-                a, z, home = a[a < z], z[a < z], home[a < z]
+                a, z = a[a < z], z[a < z]
                 if not len(a):
                     continue
-                order = np.argsort(a, kind="stable")
-                a, z, home = a[order], z[order], home[order]
                 size = z - a
                 starts = np.repeat(a - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
-                home = np.repeat(home, size)
                 for at in range(0, len(starts), SLICE):
                     part = starts[at : at + SLICE]
                     low = part.min()
-                    h.append(window_hashes(whole[low : part.max() + width], part - low, width))
-                    d.append(np.full(len(part), doc)), s.append(part), g.append(home[at : at + SLICE])
+                    one, two = (window_hashes(whole[low : part.max() + width], part - low, width, base) for base in _BASES)
+                    h.append(one), g.append((two % _U(homes)).astype(np.int64))
+                    d.append(np.full(len(part), doc)), s.append(part)
                     held += len(part)
                     if held >= SLICE:
                         yield from flush()
@@ -332,6 +366,8 @@ def shared_spans(df: DataFrame, key: str = "doc_id", text: str = "text", width:
             yield from flush()
 
     found = read.mapInArrow(compare, _ASKED).groupBy("bucket").applyInPandas(_answers(8), _RUNS)
+    if room:
+        found = found.where("doc % 2 = 0").withColumn("doc", F.expr("doc div 2"))
     per_doc = found.groupBy("doc").agg(F.collect_list("runs").alias("runs"))
 
     def spans(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -344,7 +380,8 @@ def shared_spans(df: DataFrame, key: str = "doc_id", text: str = "text", width:
             if docs:
                 yield pd.DataFrame({"doc": np.concatenate(docs), "a": np.concatenate(starts), "z": np.concatenate(ends)})
 
-    return per_doc.mapInPandas(spans, "doc bigint, a int, z int").toDF(key, "span_start", "span_end")
+    rest = per_doc.mapInPandas(spans, "doc bigint, a int, z int")
+    return rest.union(copies.select("doc", F.lit(0), "n")).toDF(key, "span_start", "span_end")
 
 
 def shared_share(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 200) -> DataFrame:

@@ -449,6 +449,23 @@ def test_share_and_empty(spark):
     assert spans.shared_spans(df.limit(0)).count() == 0
 
 
+def test_settled_windows_travel_as_intervals():
+    first = np.tile(np.arange(1000), 2)
+    hashes, docs = first.astype(np.uint64) * np.uint64(1 << 55 | 1), np.repeat([1, 2], 1000)
+    (batch,) = spans._asked(hashes, docs, first, first + 1, first % 8, 8)
+    known = [spans._unpacked(r["at"]) for r in batch.to_pylist() if r["known"]]
+    assert [tuple(x.tolist() for x in r) for r in known] == [([1, 2], [0, 0], [1000, 1000])]
+
+
+@pytest.mark.parametrize("far", [0, 1 << 62])
+def test_spans_of_copies_and_of_keys_with_several_texts(spark, far):
+    draw = random.Random(5)
+    one, two, three = ("".join(draw.choice("abcdefgh ") for _ in range(400)) for _ in range(3))
+    texts = [(-1, one), (far + 2, one), (far + 3, one + two), (far + 3, two), (far + 4, three), (far + 4, three + "x" * 250), (far + 5, "y" + one[:250] + "z"), (far + 6, two)]
+    df = spark.createDataFrame(texts, "doc_id bigint, text string")
+    assert {tuple(r) for r in spans.shared_spans(df).collect()} == shared_by_brute_force(texts, 200) - {(far + 3, 0, 400)}  # one key's spans are one set
+
+
 # --- personal information (p1) ---
 
 
