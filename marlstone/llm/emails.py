@@ -151,14 +151,16 @@ def _signs(found: list[str]) -> bool:
     return not small or (len(found) <= 2 and not any(w.strip(".,").lower() in NO_NAMES for w in found))
 
 
-def fingerprints(text: str) -> list[int]:
-    """Winnowed hashes of the word runs of a text (least of each window, rightmost of equals)."""
+def run_hashes(text: str) -> np.ndarray:
+    """Hashes of all runs of RUN words of a text, in order."""
     found = words(text)
-    if len(found) < RUN:
-        return []
-    hashes = np.array([xxhash.xxh64_intdigest(" ".join(found[i : i + RUN])) for i in range(len(found) - RUN + 1)], dtype=np.uint64).view(np.int64)
+    return np.array([xxhash.xxh64_intdigest(" ".join(found[i : i + RUN])) for i in range(len(found) - RUN + 1)], dtype=np.uint64).view(np.int64)
+
+
+def fingerprints(hashes: np.ndarray) -> list[int]:
+    """The winnowed ones of a text's run hashes (least of each window, rightmost of equals)."""
     if len(hashes) <= WINDOW:
-        return [int(hashes.min())]
+        return [int(hashes.min())] if len(hashes) else []
     views = np.lib.stride_tricks.sliding_window_view(hashes, WINDOW)
     at = np.arange(len(views)) + WINDOW - 1 - views[:, ::-1].argmin(axis=1)
     return [int(x) for x in np.unique(hashes[np.unique(at)])]
@@ -183,7 +185,7 @@ def _marks(mails: DataFrame, kind: str) -> DataFrame:
 
 
 def _own(mails: DataFrame, kind: str, notices: set[int]) -> DataFrame:
-    """(id, uid, at, body, numbers, lines, prints): the own lines of each mail without standing notices, and their fingerprints.
+    """(id, uid, at, body, numbers, lines, runs, prints): the own lines of each mail without standing notices, their run hashes and fingerprints.
 
     body is a hash of their words.
     """
@@ -197,10 +199,11 @@ def _own(mails: DataFrame, kind: str, notices: set[int]) -> DataFrame:
                 if own:
                     text = "\n".join(x for _, x in own)
                     body = xxhash.xxh3_128_digest(" ".join(words(text)))
-                    out.append((key, uid, at, body, [i for i, _ in own], [x for _, x in own], fingerprints(text)))
-            yield pd.DataFrame(out, columns=["id", "uid", "at", "body", "numbers", "lines", "prints"])
+                    runs = run_hashes(text)
+                    out.append((key, uid, at, body, [i for i, _ in own], [x for _, x in own], runs, fingerprints(runs)))
+            yield pd.DataFrame(out, columns=["id", "uid", "at", "body", "numbers", "lines", "runs", "prints"])
 
-    return mails.mapInPandas(parse, f"id {kind}, uid string, at string, body binary, numbers array<int>, lines array<string>, prints array<bigint>")
+    return mails.mapInPandas(parse, f"id {kind}, uid string, at string, body binary, numbers array<int>, lines array<string>, runs array<bigint>, prints array<bigint>")
 
 
 def history(lines: list[str], others: list[tuple[list[str], bool]]) -> list[int]:
@@ -256,22 +259,41 @@ def history(lines: list[str], others: list[tuple[list[str], bool]]) -> list[int]
     return sorted(gone)
 
 
+def _held(bodies: DataFrame) -> DataFrame:
+    """(body, long, all): whether other texts hold each run of a stretch of SPAN words of a text, or of the whole text.
+
+    A text without such a stretch copies none, and one that is not held wholly is no other's part, so
+    these alone need a comparison, however many texts share a run by chance.
+    """
+    runs = bodies.select(F.xxhash64("body").alias("b"), F.posexplode("runs").alias("pos", "run"))
+    same = Window.partitionBy("run")
+    shared = runs.withColumns({"one": F.min("b").over(same), "other": F.max("b").over(same)}).where("one <> other")
+    islands = shared.select("b", F.col("pos") - F.row_number().over(Window.partitionBy("b").orderBy("pos"))).toDF("b", "island")
+    held = islands.groupBy("b", "island").agg(F.count("*").alias("n")).groupBy("b").agg(F.max("n").alias("most"), F.sum("n").alias("n"))
+    sized = bodies.select("body", F.xxhash64("body").alias("b"), F.size("runs").alias("size")).join(held.hint("merge"), "b")
+    return sized.select("body", (F.col("most") > SPAN - RUN).alias("long"), (F.col("n") == F.col("size")).alias("all")).where("long OR all")
+
+
 def _copied(own: DataFrame, kind: str) -> DataFrame:
     """(uid, line_no) of unmarked own lines that verify as own text of other mails found by fingerprints."""
-    # mails of equal own text are as old as the first of them
-    since = F.min(F.struct(F.col("at").isNull(), "at", "id")).over(Window.partitionBy("body"))
-    prints = own.where(F.size("prints") > 0).select("id", "uid", since.alias("since"), "prints").withColumn("p", F.explode("prints")).drop("prints")
-    # of each fingerprint's holders, a mail is compared with the earliest and with the one just before and
-    # behind it: each held piece meets an earlier holder of it, and no pairs of all holders arise
-    order = Window.partitionBy("p").orderBy("since", "id", "uid")
-    one = F.struct("uid", "id")
-    held = prints.withColumn("first", F.first(one).over(order)).withColumn("last", F.lag(one).over(order))
-    met = held.select("id", "uid", F.explode(F.array("first", "last")).alias("o")).where("o IS NOT NULL AND o.id <> id").select("uid", F.col("o.uid").alias("other")).distinct()
-    both = met.select("uid", "other", F.lit(True).alias("earlier")).union(met.select("other", "uid", F.lit(False)))
-    texts = own.select(F.col("uid").alias("other"), F.col("lines").alias("text"))
-    # as many others as a mail has fingerprints, at most three times
-    others = both.join(texts.hint("merge"), "other").groupBy("uid").agg(F.collect_list(F.struct("text", "earlier")).alias("others"))
-    pairs = own.select("uid", "numbers", "lines").join(others.hint("merge"), "uid")
+    # mails of equal own text are as old as the first of them and stand for each other; least and most tell whether they are one key's
+    since = F.min(F.struct(F.col("at").isNull(), "at", "id")).alias("since")
+    first = [F.first(c).alias(c) for c in ("lines", "runs", "prints")]
+    bodies = own.where(F.size("prints") > 0).groupBy("body").agg(since, F.min("id").alias("least"), F.max("id").alias("most"), *first)
+    bodies = materialize(bodies)
+    held = materialize(_held(bodies))
+    prints = bodies.select("body", "since", F.explode("prints").alias("p")).join(held, "body", "left").withColumns({c: F.coalesce(c, F.lit(False)) for c in ("long", "all")})
+    # every holder of a fingerprint is met, from the side of a text that may copy and from that of one that may be a part
+    mine, theirs = prints.select("p", "body", "since", "long"), prints.select("p", F.col("body").alias("other"), F.col("since").alias("then"), "all")
+    earlier = F.struct("then", "other") < F.struct("since", "body")
+    met = mine.where("long").join(theirs.hint("merge"), "p").where((F.col("body") != F.col("other")) & earlier)
+    parts = mine.join(theirs.where("all").hint("merge"), "p").where(F.col("body") != F.col("other"))
+    both = met.select("body", "other", F.lit(True).alias("earlier")).union(parts.select("body", "other", earlier.alias("earlier"))).distinct()
+    texts = bodies.select(F.col("body").alias("other"), F.col("lines").alias("text"), "least", "most")
+    others = both.join(texts.hint("merge"), "other").groupBy("body").agg(F.collect_list(F.struct("text", "earlier", "least", "most")).alias("others"))
+    # a key's own other texts are not other mails
+    foreign = F.filter("others", lambda x: ~((x["least"] == F.col("id")) & (x["most"] == F.col("id"))))
+    pairs = own.join(others.hint("merge"), "body").select("uid", "numbers", "lines", F.transform(foreign, lambda x: F.struct(x["text"].alias("text"), x["earlier"].alias("earlier"))).alias("others"))
 
     def verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:

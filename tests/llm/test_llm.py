@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 
 from marlstone.llm import chunking, emails, knn, names, neardup, packing, pii, spans, tokens
 
@@ -285,6 +286,30 @@ def test_unmarked_history_without_a_closing_is_found(spark):
     assert got == [(1, 1), (1, 2), (1, 3), (2, 1), (3, 1), (3, 5), (4, 1), (5, 1), (6, 1), (7, 1), (7, 2), (8, 1), (8, 2), (8, 3)]
 
 
+def test_history_is_found_though_other_mails_hold_its_fingerprints(spark):
+    draw = random.Random(8)
+    word = lambda: f"w{draw.randrange(10**6)}"
+
+    def winnowed(text):
+        hashes = [int(np.uint64(xxhash.xxh64_intdigest(" ".join(text[i : i + 8]))).view(np.int64)) for i in range(len(text) - 7)]
+        return {tuple(text[k : k + 8]) for k in (min(range(i, i + 4), key=lambda k: (hashes[k], -k)) for i in range(len(hashes) - 3))}
+
+    def around(run):
+        while True:
+            text = [word() for _ in range(12)] + list(run) + [word() for _ in range(12)]
+            if run in winnowed(text):
+                return " ".join(text)
+
+    passage = [word() for _ in range(40)]
+    rows = [(500, " ".join(passage), "2024-02-01"), (900, "Mine.\n" + " ".join(passage), "2024-04-01")]
+    # each fingerprint of the passage stands in a mail before its source and in one between source and copy
+    for run in sorted(winnowed(["mine", *passage])):
+        rows += [(len(rows) + i, around(run), day) for i, day in enumerate(("2024-01-01", "2024-03-01"))]
+    df = spark.createDataFrame(rows, "id int, compiled_truth string, created_at string")
+    got = {(r["id"], r["line_no"]) for r in emails.new_lines(df).collect()}
+    assert (900, 1) in got and (900, 2) not in got and len(got) == len(rows)
+
+
 # --- vectors (p7) ---
 
 
