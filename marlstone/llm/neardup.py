@@ -48,7 +48,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-class _WordHashes(dict):
+class WordHashes(dict):
     def __missing__(self, word: str) -> int:
         self[word] = value = xxhash.xxh64_intdigest(word)
         return value
@@ -56,7 +56,7 @@ class _WordHashes(dict):
 
 def shingles(texts: list[str | None], width: int, least: int, hashes: dict | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(owner, hash) of the distinct shingles of each text with at least ``least`` words, sorted by both."""
-    hashes = _WordHashes() if hashes is None else hashes
+    hashes = WordHashes() if hashes is None else hashes
     flat: list[int] = []
     lengths = np.zeros(len(texts), dtype=np.int64)
     for i, text in enumerate(texts):
@@ -105,25 +105,28 @@ def signatures(owner: np.ndarray, value: np.ndarray, count: int, bins: int) -> n
     return _mix(filled).astype(np.uint32)
 
 
+def signed(texts: list[str | None], width: int, least: int, bins: int, hashes: dict) -> tuple[list[int], list[bytes], list[bytes]]:
+    """Positions of the texts with enough words, the digests of their shingle sets and their signatures, 16 bits a bin."""
+    owner, value = shingles(texts, width, least, hashes)
+    if len(hashes) > 500_000:  # memory only
+        hashes.clear()
+    sig = signatures(owner, value, len(texts), bins).astype(np.uint16)
+    bounds = np.searchsorted(owner, np.arange(len(texts) + 1))
+    keep = [i for i in range(len(texts)) if bounds[i] < bounds[i + 1]]
+    return keep, [xxhash.xxh3_128_digest(value[bounds[i] : bounds[i + 1]].tobytes()) for i in keep], [sig[i].tobytes() for i in keep]
+
+
 def _hashed(df: DataFrame, key: str, text: str, width: int, least: int, bins: int) -> DataFrame:
     """(k, same, sig) of each text with enough words; same identifies its shingle set, sig has 16 bits a bin."""
     kind = df.schema[key].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _WordHashes()
+        hashes = WordHashes()
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                owner, value = shingles(part.column(1).to_pylist(), width, least, hashes)
-                if len(hashes) > 500_000:  # memory only
-                    hashes.clear()
-                sig = signatures(owner, value, part.num_rows, bins).astype(np.uint16)
-                bounds = np.searchsorted(owner, np.arange(part.num_rows + 1))
-                keep = [i for i in range(part.num_rows) if bounds[i] < bounds[i + 1]]
-                same = [xxhash.xxh3_128_digest(value[bounds[i] : bounds[i + 1]].tobytes()) for i in keep]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(keep, pa.int64())), pa.array(same, pa.binary()), pa.array([sig[i].tobytes() for i in keep], pa.binary())], ["k", "same", "sig"]
-                )
+                keep, same, sig = signed(part.column(1).to_pylist(), width, least, bins, hashes)
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(keep, pa.int64())), pa.array(same, pa.binary()), pa.array(sig, pa.binary())], ["k", "same", "sig"])
 
     return _texts(df, key, text).mapInArrow(work, f"k {kind}, same binary, sig binary")
 
@@ -176,7 +179,7 @@ def _bucket_edges(sets: DataFrame, bands: int, rows: int, kind: str, threshold:
 
 
 def similar(
-    df: DataFrame, key: str, text: str, width: int = 5, least: int = 0, threshold: float = 0.8, bands: int = 20, rows: int = 4, block: int = 256
+    df: DataFrame, key: str, text: str, width: int = 5, least: int = 0, threshold: float = 0.8, bands: int = 20, rows: int = 4, block: int = 256, hashed: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(members, pairs) of a table's texts.
 
@@ -185,9 +188,11 @@ def similar(
 
     ``bands`` x ``rows``: two texts of similarity s share a bucket with probability
     1 - (1 - s**rows)**bands; the defaults find 99.997 % of the pairs at 0.8.
+    ``hashed`` gives (k, same, sig) of the texts, as ``signed`` makes them, each once, where they are known.
     """
     kind = df.schema[key].dataType.simpleString()
-    hashed = materialize(_hashed(df, key, text, width, least, bands * rows).distinct())
+    if hashed is None:
+        hashed = materialize(_hashed(df, key, text, width, least, bands * rows).distinct())
     reps = hashed.groupBy("same").agg(F.min("k").alias("rep"))
     members = hashed.select("k", "same").join(reps, "same").select("k", "rep")
     sets = hashed.join(reps.select(F.col("rep").alias("k")), "k", "left_semi")

@@ -21,21 +21,25 @@ Defined results
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import components
 from ..session import materialize
 from . import neardup
-from .tokens import token_counts
+from .tokens import encoder, token_counts, vocabulary_path
 
 #: Items of one task, on average.
 SHARE = 20_000
 #: Most capacities; each has a row of its own for every item.
 LIMITS = 1_000
+#: Words of a shingle and bins of a signature: those of near-duplicates by default.
+WIDTH, BINS = 5, 80
 
 
 class Bins:
@@ -106,9 +110,29 @@ def pack(sizes: np.ndarray, sources: np.ndarray, clusters: np.ndarray, capacity:
     return pd.DataFrame(out, columns=["item", "piece", "tokens", "bin"])
 
 
-def classes(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def _measured(df: DataFrame, key: str, text: str, source: str, path: str) -> DataFrame:
+    """(k, s, tokens, same, sig) of each row: its tokens and, where it has enough words, what tells its near-duplicates, in one pass over the texts."""
+    rows = df.select(F.col(key).alias("k"), F.col(source).alias("s"), F.col(text).cast("string").alias("t"))
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe, hashes = encoder(path), neardup.WordHashes()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                texts = part.column(2).to_pylist()
+                same, sig = [None] * len(texts), [None] * len(texts)
+                for i, a, b in zip(*neardup.signed(texts, WIDTH, 0, BINS, hashes)):
+                    same[i], sig[i] = a, b
+                columns = [part.column(0), part.column(1), pa.array(bpe.count_many(texts), pa.int64()), pa.array(same, pa.binary()), pa.array(sig, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["k", "s", "tokens", "same", "sig"])
+
+    kinds = [rows.schema[c].dataType.simpleString() for c in ("k", "s")]
+    return rows.mapInArrow(measure, f"k {kinds[0]}, s {kinds[1]}, tokens bigint, same binary, sig binary")
+
+
+def classes(df: DataFrame, key: str = "doc_id", text: str = "text", hashed: DataFrame | None = None) -> DataFrame:
     """(k, class): each text with enough words and the class of near-duplicates it belongs to."""
-    members, pairs = neardup.similar(df, key, text)
+    members, pairs = neardup.similar(df, key, text, hashed=hashed)
     members = materialize(members)
     linked = components(materialize(pairs)).toDF("rep", "class")
     return members.join(linked, "rep", "left").select("k", F.coalesce("class", "rep").alias("class"))
@@ -122,9 +146,13 @@ def filled(
     ``grouped`` gives the ``classes`` of the texts where they are known.
     """
     kind = df.schema[key].dataType.simpleString()
-    counted = token_counts(df.select(F.col(key).alias("k"), F.col(source).alias("s"), F.col(text).alias("t")), "t", "tokens", vocabulary, ("k", "s"))
+    if grouped is None:
+        measured = _measured(df, key, text, source, vocabulary or vocabulary_path())
+        counted = materialize(measured.groupBy("k", "same", "sig").agg(F.max(F.struct("tokens", "s")).alias("one")).select("k", "same", "sig", "one.*"))
+        grouped = classes(df, key, text, counted.where("k IS NOT NULL AND same IS NOT NULL").select("k", "same", "sig"))
+    else:
+        counted = token_counts(df.select(F.col(key).alias("k"), F.col(source).alias("s"), F.col(text).alias("t")), "t", "tokens", vocabulary, ("k", "s"))
     sizes = materialize(counted.groupBy("k").agg(F.max(F.struct("tokens", "s")).alias("one")).select("k", "one.*"))
-    grouped = classes(df, key, text) if grouped is None else grouped
     several = grouped.groupBy("class").agg(F.count("*").alias("n")).where("n > 1").select("class")
     clusters = grouped.join(several, "class").select("k", F.col("class").alias("cluster"))
     share = max(1, -(-sizes.count() // SHARE))

@@ -3,6 +3,7 @@
 A vocabulary file gives each byte string a rank, which is also its id. A pre-token's bytes form a
 doubly linked list of symbols; a priority queue holds the adjacent pairs that the vocabulary knows,
 lowest rank first. An entry whose symbols have changed since it was queued is stale and skipped.
+Pairs of a short pre-token are looked through instead, and one that is in the vocabulary is one id.
 
 Defined results: null and empty texts give an empty list; any other text, however long, is encoded
 whole; strings that look like special tokens are ordinary text. Repeated rows are encoded alike.
@@ -29,6 +30,8 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 REMEMBERED = 400_000
 #: Above every rank.
 NEVER = 1 << 30
+#: Bytes of a pre-token whose pairs are looked through each time: less work than a queue of so few.
+SHORT = 32
 #: Rows encoded at a time by one worker.
 SLICE = 500
 
@@ -94,8 +97,22 @@ class ByteBPE:
         ``at[i]`` is the id of the symbol that begins at i; a queue entry rank * n + i is stale unless
         ``offered[i]`` still holds its rank.
         """
+        whole = self.ranks.get(word)
+        if whole is not None:  # as the public library has it
+            return [whole]
         n, pairs = len(word), self.pairs
         at = list(map(self.letter.__getitem__, word))
+        if n <= SHORT:
+            ranks = [pairs[a << 20 | b] for a, b in zip(at, at[1:])]
+            while ranks and (rank := min(ranks)) < NEVER:
+                i = ranks.index(rank)  # the leftmost, as in the queue
+                at[i : i + 2] = (rank,)
+                del ranks[i]
+                if i < len(ranks):
+                    ranks[i] = pairs[rank << 20 | at[i + 1]]
+                if i:
+                    ranks[i - 1] = pairs[at[i - 1] << 20 | rank]
+            return at
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         offered = [pairs[a << 20 | b] for a, b in zip(at, at[1:])]
         offered.append(NEVER)

@@ -419,6 +419,15 @@ def test_filled(spark):
     assert packing.filled(df.limit(0), limits).count() == 0
 
 
+def test_filling_reads_each_text_once_for_tokens_and_signatures(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "s", "a b c d e f g"), (2, None, None), (3, "s", "a b c d e f g"), (None, "s", "x"), (1, "s", "a b c d e f g")], "doc_id bigint, source string, text string")
+    limits = spark.createDataFrame([(1, 10)], "limit_id int, capacity_tokens bigint")
+    apart = packing.filled(df, limits, grouped=packing.classes(df)).collect()
+    for name in ("token_counts", "_hashed"):
+        monkeypatch.setattr(packing if name == "token_counts" else neardup, name, None)
+    assert Counter(packing.filled(df, limits).collect()) == Counter(apart) and len(apart) == 4
+
+
 def test_audits_tell_faults(spark):
     text = sentence(random.Random(3), 60)
     df = spark.createDataFrame([(1, text, "s"), (2, text, "s"), (3, "other words", "s")], "doc_id bigint, text string, source string")
