@@ -1,10 +1,10 @@
-"""Near-duplicate texts by one-permutation hashing, banding and star-shaped candidate edges.
+"""Near-duplicate texts by one-permutation hashing, banding and candidate pairs.
 
 Each text is a set of shingles (runs of consecutive words). One hash permutation is cut into bins;
 a bin keeps its smallest value, and an empty bin borrows from a bin drawn by a hash that all texts
-share (optimal densification). Bands of adjacent bins are bucket keys; each bucket contributes only
-edges from its members to its smallest member, and the components of these edges hold the candidate
-pairs. Inside a component, pairs whose signatures agree often enough are compared exactly.
+share (optimal densification). Bands of adjacent bins are bucket keys; the pairs of a bucket whose
+sketches agree are candidates. Components of candidates are not formed: in a large table chance
+candidates join most of it. Candidates whose signatures agree often enough are compared exactly.
 
 Texts with equal shingle sets stand for each other: only one of them is bucketed.
 
@@ -18,10 +18,12 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 from pyspark.sql import DataFrame
@@ -136,17 +138,16 @@ def _texts(df: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def _bucket_edges(sets: DataFrame, bands: int, rows: int, kind: str, threshold: float) -> DataFrame:
-    """(a, b): star edges of all buckets, from each member to the bucket's smallest member.
+    """(a, b), a < b: the pairs of members of one bucket whose sketches agree.
 
-    An edge stays if one bit of each signature bin agrees about as often as for texts at the
-    threshold (5 standard errors less), so chance collisions do not chain families together. The
-    members that a centre rejects get a centre of their own; those that it rejects, too, take the next
-    one untested, so that every member of a bucket has an edge.
+    A sketch holds the two lowest bits of up to 64 signature bins. A pair stays if as many bins agree as
+    for texts at the threshold, 6 standard errors less. Of unlike texts, whose pairs in a bucket grow as
+    the square of the input, hardly any pass.
     """
     bins = bands * rows
-    used = min(63, bins)
-    expected = (1 + threshold) / 2
-    most = int(used * (1 - expected + 5 * np.sqrt(expected * (1 - expected) / used)))
+    used = min(64, bins)
+    expected = threshold + (1 - threshold) / 4
+    most = int(used * (1 - expected + 6 * np.sqrt(expected * (1 - expected) / used)))
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -154,28 +155,43 @@ def _bucket_edges(sets: DataFrame, bands: int, rows: int, kind: str, threshold:
             if not n:
                 continue
             sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype=np.uint16).reshape(n, bins).astype(_U)
-            bits = ((sig[:, :used] & _U(1)) << np.arange(used, dtype=_U)).sum(axis=1, dtype=_U).view(np.int64)
+            low, high = (((sig[:, :used] >> _U(bit) & _U(1)) << np.arange(used, dtype=_U)).sum(axis=1, dtype=_U).view(np.int64) for bit in (0, 1))
             banded = sig.reshape(n, bands, rows)
             value = np.broadcast_to(np.arange(bands, dtype=_U), (n, bands)).copy()
             for r in range(rows):
                 value = _mix(value * _U(0x9E3779B97F4A7C15) + banded[:, :, r])
             which = np.repeat(np.arange(n), bands)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(which)), pa.array(value.reshape(-1).view(np.int64)), pa.array(bits[which])], ["k", "bucket", "bits"]
+                [batch.column(0).take(pa.array(which)), pa.array(value.reshape(-1).view(np.int64)), pa.array(low[which]), pa.array(high[which])], ["k", "bucket", "low", "high"]
             )
 
-    members = sets.select("k", "sig").mapInArrow(keys, f"k {kind}, bucket bigint, bits bigint")
-    out = None
-    for last in (False, False, True):
-        centres = members.groupBy("bucket").agg(F.min(F.struct("k", "bits")).alias("c"), F.max("k").alias("high")).where("c.k <> high")
-        # the planner knows nothing of the bands' number: a merge join keeps it from broadcasting them
-        alike = F.lit(True) if last else F.bit_count(F.col("bits").bitwiseXOR(F.col("c.bits"))) <= most
-        met = members.join(centres.hint("merge"), "bucket").where(F.col("k") != F.col("c.k")).select("k", "bucket", "bits", F.col("c.k").alias("centre"), alike.alias("alike"))
-        met = materialize(met) if not last else met
-        edges = met.where("alike").select(F.col("centre").alias("a"), F.col("k").alias("b"))
-        out = edges if out is None else out.union(edges)
-        members = met.where("NOT alike").select("k", "bucket", "bits")
-    return out.distinct()
+    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # the last bucket may go on in the next batch
+        for batch in chain(batches, [None]):
+            if batch is not None:
+                held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            if held is None or not held.num_rows:
+                continue
+            bucket = held.column("bucket").to_numpy()
+            low, high = (held.column(c).to_numpy().view(_U) for c in ("low", "high"))  # of a negative number, bitwise_count takes the absolute value
+            end = len(bucket) if batch is None else int(np.searchsorted(bucket, bucket[-1]))
+            k = held.column("k").slice(0, end).combine_chunks()
+            at, step, found, size = np.arange(end), 0, [], 0
+            while len(at):
+                step += 1
+                at = at[: np.searchsorted(at, end - step)]
+                at = at[bucket[at] == bucket[at + step]]
+                near = at[np.bitwise_count((low[at] ^ low[at + step]) | (high[at] ^ high[at + step])) <= most]
+                found.append((near, near + step))
+                size += len(near)
+                if size > 100_000 or not len(at):
+                    one, two = (k.take(pa.array(np.concatenate(x))) for x in zip(*found))
+                    yield pa.RecordBatch.from_arrays([one, two], ["a", "b"]).filter(pc.not_equal(one, two))
+                    found, size = [], 0
+            held = held.slice(end)
+
+    members = sets.select("k", "sig").mapInArrow(keys, f"k {kind}, bucket bigint, low bigint, high bigint")
+    return members.repartition("bucket").sortWithinPartitions("bucket", "k").mapInArrow(alike, f"a {kind}, b {kind}").distinct()
 
 
 def similar(
@@ -196,36 +212,37 @@ def similar(
     reps = hashed.groupBy("same").agg(F.min("k").alias("rep"))
     members = hashed.select("k", "same").join(reps, "same").select("k", "rep")
     sets = hashed.join(reps.select(F.col("rep").alias("k")), "k", "left_semi")
-    parts = components(_bucket_edges(sets, bands, rows, kind, threshold))
-    nodes = parts.select(F.col("node").alias("k"))
+    near = materialize(_bucket_edges(sets, bands, rows, kind, threshold))
+    nodes = near.select(F.col("a").alias("k")).union(near.select(F.col("b").alias("k"))).distinct()
     texts = _texts(df, key, text).join(nodes, "k", "left_semi").distinct().join(sets.select("k", "sig"), "k")
-    return members, _verified(texts, parts, kind, threshold, bands * rows, block, width, least)
+    return members, _verified(texts, near, kind, threshold, bands * rows, block, width, least)
 
 
 def _verified(
-    texts: DataFrame, parts: DataFrame, kind: str, threshold: float, bins: int, block: int, width: int, least: int
+    texts: DataFrame, near: DataFrame, kind: str, threshold: float, bins: int, block: int, width: int, least: int
 ) -> DataFrame:
-    """Exact similarities inside components.
+    """Exact similarities of the pairs in ``near``.
 
-    A component is cut into blocks of about ``block`` members and a task gets two blocks at a time,
-    so that no component, however large, is gathered in one task. Of a pair only the signatures are
+    The home of a text is the least of it and its candidates, so that a family has one home. Homes are
+    cut into blocks of about ``block`` members. A task gets the members of one block, or of two, that
+    have candidates there: no family, however large, is gathered in one task, and no text travels more
+    often than it has candidates, however long the chains of these. Of a pair only the signatures are
     compared first; 5 standard errors below the threshold it is given up.
     """
-    sized = parts.join(parts.groupBy("component").agg(F.count("*").alias("size")), "component")
-    blocked = sized.select(
-        F.col("node").alias("k"), "component", F.ceil(F.col("size") / block).cast("int").alias("blocks"),
-    ).withColumn("own", F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int"))
-    tasks = blocked.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "k", "component", "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y")
-    )
-    members = tasks.join(texts.hint("merge"), "k")
+    homes = near.select(F.col("b").alias("k"), F.col("a").alias("home")).union(near.select("a", "a")).groupBy("k").agg(F.min("home").alias("home"))
+    sized = homes.join(homes.groupBy("home").agg(F.ceil(F.count("*") / block).alias("blocks")), "home")
+    blocks = materialize(sized.select("k", F.struct("home", F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int").alias("part")).alias("own")))
+    one, two = (blocks.select(F.col("k").alias(k), F.col("own").alias(f"own_{k}")) for k in "ab")
+    pairs = near.join(one, "a").join(two, "b").withColumns({"x": F.least("own_a", "own_b"), "y": F.greatest("own_a", "own_b")})
+    ends = [pairs.select(F.col(k).alias("k"), (F.col(f"own_{k}") == F.col("x")).alias("first"), F.col("x.home").alias("x"), F.col("x.part").alias("i"), F.col("y.home").alias("y"), F.col("y.part").alias("j")) for k in "ab"]
+    members = ends[0].union(ends[1]).distinct().join(texts.hint("merge"), "k")
     slack = 5 * np.sqrt(threshold * (1 - threshold) / bins)
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("k").reset_index(drop=True)
         sig = np.frombuffer(b"".join(frame["sig"]), dtype=np.uint16).reshape(len(frame), bins)
-        own = frame["own"].to_numpy()
-        cross = frame["x"].iloc[0] != frame["y"].iloc[0]
+        own = frame["first"].to_numpy()
+        cross = not own.all()
         owner, value = shingles(list(frame["t"]), width, least)
         bounds = np.searchsorted(owner, np.arange(len(frame) + 1))
         shingle = [value[a:z] for a, z in zip(bounds, bounds[1:])]
@@ -244,7 +261,7 @@ def _verified(
                     out.append((keys[i], keys[j], score))
         return pd.DataFrame(out, columns=["a", "b", "similarity"])
 
-    return members.groupBy("component", "x", "y").applyInPandas(compare, f"a {kind}, b {kind}, similarity double")
+    return members.groupBy("x", "i", "y", "j").applyInPandas(compare, f"a {kind}, b {kind}, similarity double")
 
 
 def near_pairs(df: DataFrame, key: str, text: str, **how) -> DataFrame:

@@ -87,6 +87,21 @@ def test_members_that_a_centre_rejects_have_centres_of_their_own(spark, monkeypa
     assert {tuple(r) for r in got.collect()} >= {(0, 3), (1, 2), (1, 4)}
 
 
+def test_unlike_members_of_a_bucket_are_no_candidates(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "_mix", lambda x: np.asarray(x) * np.uint64(0))  # one bucket
+    draw = np.random.default_rng(3)
+    sigs = draw.integers(0, 1 << 16, (60, 12), dtype=np.uint16)
+    sigs[[7, 50]] = sigs[2]
+    df = spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in enumerate(sigs)], "k int, sig binary")
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")  # the bucket goes over many batches
+    try:
+        got = Counter(map(tuple, neardup._bucket_edges(df, 4, 3, "int", 0.99).collect()))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    assert got == Counter([(2, 7), (2, 50), (7, 50)])
+
+
 def test_classes_count_links_between_different_texts(spark):
     draw = random.Random(2)
     base = sentence(draw, 80).split()
