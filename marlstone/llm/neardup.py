@@ -194,6 +194,24 @@ def _bucket_edges(sets: DataFrame, bands: int, rows: int, kind: str, threshold:
     return members.repartition("bucket").sortWithinPartitions("bucket", "k").mapInArrow(alike, f"a {kind}, b {kind}").distinct()
 
 
+def _nodes(near: DataFrame) -> DataFrame:
+    return near.select(F.col("a").alias("k")).union(near.select(F.col("b").alias("k"))).distinct()
+
+
+def _agreeing(near: DataFrame, sigs: DataFrame, kind: str, threshold: float, bins: int) -> DataFrame:
+    """The pairs whose signatures agree about as often as those of texts at the threshold, 5 standard errors less."""
+    slack = 5 * np.sqrt(threshold * (1 - threshold) / bins)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if n := batch.num_rows:
+                one, two = (np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype=np.uint16).reshape(n, bins) for i in (2, 3))
+                yield batch.select(["a", "b"]).filter(pa.array((one == two).mean(axis=1) >= threshold - slack))
+
+    one, two = (sigs.select(F.col("k").alias(k), F.col("sig").alias(f"sig_{k}")) for k in "ab")
+    return near.join(one, "a").join(two, "b").select("a", "b", "sig_a", "sig_b").mapInArrow(work, f"a {kind}, b {kind}")
+
+
 def similar(
     df: DataFrame, key: str, text: str, width: int = 5, least: int = 0, threshold: float = 0.8, bands: int = 20, rows: int = 4, block: int = 256, hashed: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
@@ -213,8 +231,9 @@ def similar(
     members = hashed.select("k", "same").join(reps, "same").select("k", "rep")
     sets = hashed.join(reps.select(F.col("rep").alias("k")), "k", "left_semi")
     near = materialize(_bucket_edges(sets, bands, rows, kind, threshold))
-    nodes = near.select(F.col("a").alias("k")).union(near.select(F.col("b").alias("k"))).distinct()
-    texts = _texts(df, key, text).join(nodes, "k", "left_semi").distinct().join(sets.select("k", "sig"), "k")
+    sigs = materialize(sets.join(_nodes(near), "k", "left_semi").select("k", "sig"))
+    near = materialize(_agreeing(near, sigs, kind, threshold, bands * rows))
+    texts = _texts(df, key, text).join(_nodes(near), "k", "left_semi").distinct().join(sigs, "k")
     return members, _verified(texts, near, kind, threshold, bands * rows, block, width, least)
 
 
